@@ -10,5 +10,5 @@ def people_over(people: DataFrame, age: int = 30) -> DataFrame:
     return people.where(F.col("age") > age)
 
 
-def average_salary_by_city(people: DataFrame, digits: int = 2) -> DataFrame:
-    return people.groupBy("city").agg(F.round(F.avg("salary"), digits).alias("avg_salary"))
+def average_salary_by_city(people: DataFrame) -> DataFrame:
+    return people.groupBy("city").agg(F.avg("salary").alias("avg_salary"))

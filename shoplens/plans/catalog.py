@@ -104,7 +104,9 @@ ANALYSES: dict[str, Callable[[Tables], DataFrame]] = {
         t.customers, "NATION_1"
     ).select("customerNumber", "customerName", "country"),
     "people_over_30": lambda t: people_ops.people_over(t.people, 30),
-    "people_avg_salary": lambda t: people_ops.average_salary_by_city(t.people),
+    "people_avg_salary": lambda t: people_ops.average_salary_by_city(t.people).withColumn(
+        "avg_salary", F.round("avg_salary", 6)
+    ),
     # orders
     "orders_by_month": lambda t: order_ops.orders_by_month(t.orders),
     "high_value_orders": lambda t: order_ops.high_value_orders(t.orders, 250000).select(

@@ -284,7 +284,7 @@ SELECT CAST(hour(parsed_timestamp) AS BIGINT) AS hour, round(avg(response_time_m
 FROM web_logs GROUP BY 1
 """,
     "people_avg_salary": r"""
-SELECT city, round(avg(salary), 2) AS avg_salary FROM people GROUP BY 1
+SELECT city, round(avg(salary), 6) AS avg_salary FROM people GROUP BY 1
 """,
     "people_over_30": r"""
 SELECT name, age, city, salary FROM people WHERE age > 30

@@ -12,6 +12,7 @@ from pyspark.sql.types import (
     StringType,
     StructField,
     StructType,
+    TimestampType,
 )
 
 CUSTOMERS = StructType(
@@ -53,6 +54,19 @@ ORDERS = StructType(
     ]
 )
 
+# Parsed log lines.
+REQUESTS = StructType(
+    [
+        StructField("ip", StringType()),
+        StructField("timestamp", StringType()),
+        StructField("method", StringType()),
+        StructField("endpoint", StringType()),
+        StructField("status", IntegerType()),
+        StructField("response_time_ms", IntegerType()),
+        StructField("parsed_timestamp", TimestampType()),
+    ]
+)
+
 PEOPLE = StructType(
     [
         StructField("name", StringType()),
