@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from shoplens.functions import percentage
 from shoplens.operators.reports import metric_rows
@@ -71,22 +71,28 @@ def funnel(logs: DataFrame, steps: Mapping[str, Column] | None = None) -> DataFr
     """
     steps = steps if steps is not None else funnel_steps()
     flags = [f"step_{i}" for i in range(len(steps))]
-    on_some_step = reduce(Column.__or__, steps.values())
-    reached = logs.where(F.col("ip").isNotNull() & on_some_step).groupBy("ip").agg(
+    reached = logs.groupBy("ip").agg(
         *[F.bool_or(condition).alias(flag) for flag, condition in zip(flags, steps.values())]
     )
-    counted = reached.agg(*[F.count_if(flag).alias(flag) for flag in flags])
+    known = F.col("ip").isNotNull()
+    counted = reached.agg(*[F.count_if(known & F.col(flag)).alias(flag) for flag in flags])
     return metric_rows(
         counted, dict(zip(steps, map(F.col, flags))), label="Step", value="Unique_IPs"
     )
 
 
 def abusive_ips(logs: DataFrame, window: str = "1 minute", threshold: int = 50) -> DataFrame:
-    """Addresses with more than ``threshold`` requests in one tumbling window."""
+    """Addresses with more than ``threshold`` requests in one tumbling window.
+
+    Requests without a time are in no window. They are kept from counting
+    instead of filtered out, as a filter on raw lines would parse each time twice.
+    """
+    time = F.col("parsed_timestamp")
+    some_time = F.coalesce(time, F.lit(0).cast(TimestampType()))
     return (
-        logs.groupBy("ip", F.window("parsed_timestamp", window).alias("span"))
-        .agg(F.count(F.lit(1)).alias("requests_per_min"))
-        .where(F.col("requests_per_min") > threshold)
+        logs.groupBy("ip", F.window(some_time, window).alias("span"))
+        .agg(F.count(time).alias("requests_per_min"))
+        .where(F.col("requests_per_min") > max(threshold, 0))
         .orderBy(F.desc("requests_per_min"), "ip", "span.start")
         .select(
             "ip",

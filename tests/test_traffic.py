@@ -201,6 +201,31 @@ def test_abusive_ips_in_tumbling_minutes(spark):
     assert rows(visitors.abusive_ips(logs, "2 minutes", 4)) == [("a", 5, "10:00:00")]
 
 
+def test_requests_without_a_time_are_in_no_window(spark):
+    logs = requests(
+        spark,
+        *[req("a", time="31/Feb/2025:01:00:00 +0000")] * 3,
+        *[req("a", time="01/Jan/1970:00:00:10 +0000")] * 2,
+        *[req("b", time="31/Feb/2025:01:00:00 +0000")],
+    )
+    assert rows(visitors.abusive_ips(logs, threshold=0)) == [("a", 2, "00:00:00")]
+    assert rows(visitors.abusive_ips(logs, threshold=-1)) == [("a", 2, "00:00:00")]
+
+
+def test_each_time_is_parsed_once(spark, tmp_path):
+    path = str(tmp_path / "log.txt")
+    lines(spark, log_line("a", "/x")).write.text(path)
+    text = plan(visitors.abusive_ips(parse_weblogs(spark.read.text(path))))
+    assert text.count("gettimestamp(") == 1
+
+
+def test_unknown_addresses_are_no_visitors(spark):
+    logs = spark.createDataFrame(
+        [(None, "/home"), ("a", "/home"), ("b", None)], "ip STRING, endpoint STRING"
+    )
+    assert rows(visitors.funnel(logs))[0] == ("/home", 1)
+
+
 def test_high_404_ips(spark):
     logs = requests(
         spark,
