@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,25 +54,25 @@ def bounce_rate(logs: DataFrame, per: Column | None = None) -> DataFrame:
     )
 
 
-def funnel_steps() -> dict[str, Column]:
-    """The shop's steps, from the home page to the checkout."""
+# The shop's steps, from the home page to the checkout.
+FUNNEL_STEPS = ("/home", "/products", "/product/*", "/cart", "/checkout")
+
+
+def on_step(step: str) -> Column:
+    """Whether a request is for the page ``step`` or, ending in ``*``, starts with the rest of it."""
     endpoint = F.col("endpoint")
-    steps = {page: endpoint == page for page in ("/home", "/products")}
-    steps["/product/*"] = endpoint.startswith("/product/")
-    steps.update({page: endpoint == page for page in ("/cart", "/checkout")})
-    return steps
+    return endpoint.startswith(step[:-1]) if step.endswith("*") else endpoint == step
 
 
-def funnel(logs: DataFrame, steps: Mapping[str, Column] | None = None) -> DataFrame:
+def funnel(logs: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
     """(Step, Unique_IPs): addresses that reached each step, in any order.
 
     One pass for all steps: an address becomes one row with a flag per step.
     Distinct counts side by side would copy every request once per step.
     """
-    steps = steps if steps is not None else funnel_steps()
     flags = [f"step_{i}" for i in range(len(steps))]
     reached = logs.groupBy("ip").agg(
-        *[F.bool_or(condition).alias(flag) for flag, condition in zip(flags, steps.values())]
+        *[F.bool_or(on_step(step)).alias(flag) for step, flag in zip(steps, flags)]
     )
     known = F.col("ip").isNotNull()
     counted = reached.agg(*[F.count_if(known & F.col(flag)).alias(flag) for flag in flags])

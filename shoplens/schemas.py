@@ -1,7 +1,8 @@
 """Schemas of the tables the analyses work on.
 
 They are given to the readers instead of being inferred: inference reads the
-data once more, and it follows a damaged header line.
+data once more, and it follows a damaged header line. Whole numbers are long, as
+the ids of a large table outgrow an int and would read as null.
 """
 
 from pyspark.sql.types import (
@@ -17,7 +18,7 @@ from pyspark.sql.types import (
 
 CUSTOMERS = StructType(
     [
-        StructField("customerNumber", IntegerType()),
+        StructField("customerNumber", LongType()),
         StructField("customerName", StringType()),
         StructField("contactFirstName", StringType()),
         StructField("contactLastName", StringType()),
@@ -36,7 +37,7 @@ PRODUCTS = StructType(
         StructField("productCode", StringType()),
         StructField("productName", StringType()),
         StructField("productCategory", StringType()),
-        StructField("quantityInStock", IntegerType()),
+        StructField("quantityInStock", LongType()),
         StructField("buyPrice", DoubleType()),
         StructField("MSRP", DoubleType()),
     ]
@@ -44,11 +45,11 @@ PRODUCTS = StructType(
 
 ORDERS = StructType(
     [
-        StructField("orderNumber", IntegerType()),
+        StructField("orderNumber", LongType()),
         StructField("orderDate", DateType()),
         StructField("requiredDate", DateType()),
         StructField("status", StringType()),
-        StructField("customerNumber", IntegerType()),
+        StructField("customerNumber", LongType()),
         StructField("totalAmount", DoubleType()),
         StructField("paymentMethod", StringType()),
     ]

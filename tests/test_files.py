@@ -130,6 +130,15 @@ def test_parsed_logs_round_trip(spark, tmp_path):
     assert sorted(rows(stored)) == sorted(rows(parse_weblogs(table)))
 
 
+def test_no_lines_at_all(spark, tmp_path):
+    none = {"total": 0, "valid": 0, "invalid": 0}
+    empty = write(tmp_path / "empty.log")
+    assert weblog_report.save_parsed(lines(spark).coalesce(1), str(tmp_path / "a")) == none
+    (tmp_path / "empty.log").write_text("")
+    assert weblog_report.save_parsed(read_lines(spark, empty), str(tmp_path / "b")) == none
+    assert spark.read.schema(schemas.REQUESTS).parquet(str(tmp_path / "b")).count() == 0
+
+
 def read_report(spark, path):
     return rows(spark.read.option("header", True).csv(path))
 
@@ -171,6 +180,16 @@ def test_shop_report_from_the_command_line(spark, tmp_path, monkeypatch, capsys)
     assert len(read_report(spark, f"{output}/shipped_orders")) == 3
 
 
+def test_ids_beyond_an_int(spark, tmp_path):
+    path = write(
+        tmp_path / "orders.csv",
+        ",".join(schemas.ORDERS.names),
+        "3000000000,2024-06-01,2024-06-05,Shipped,5000000000,12.50,COD",
+    )
+    found = read_table(spark, path, schemas.ORDERS).select("orderNumber", "customerNumber")
+    assert rows(found) == [(3000000000, 5000000000)]
+
+
 def test_first_date_in_csv(spark, tmp_path):
     path = write(
         tmp_path / "orders.csv",

@@ -266,7 +266,7 @@ def test_order_filters_reach_the_scan(spark, tmp_path):
     stored = spark.read.schema(schemas.ORDERS).parquet(path)
     dated = plan(order_ops.orders_from_date(stored).select("orderNumber"))
     assert "GreaterThanOrEqual(orderDate,2024-06-01)" in dated
-    assert "ReadSchema: struct<orderNumber:int,orderDate:date>" in dated
+    assert "ReadSchema: struct<orderNumber:bigint,orderDate:date>" in dated
     assert "GreaterThan(totalAmount,5000.0)" in plan(order_ops.high_value_orders(stored))
     assert "In(status, [Processing,Shipped])" in plan(order_ops.orders_in_status_list(stored))
 
