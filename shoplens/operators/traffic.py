@@ -17,8 +17,19 @@ def method_distribution(logs: DataFrame) -> DataFrame:
     return value_counts(logs, "method")
 
 
+def endpoint_totals(logs: DataFrame) -> DataFrame:
+    """(endpoint, count, avg_latency_ms); several analyses start from this table.
+
+    Worth persisting like ``visitors.ip_totals``. Averages are not rounded.
+    """
+    return logs.groupBy("endpoint").agg(
+        F.count(F.lit(1)).alias("count"), F.avg("response_time_ms").alias("avg_latency_ms")
+    )
+
+
 def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
-    return value_counts(logs, "endpoint", top=k)
+    counted = endpoint_totals(logs).select("endpoint", "count")
+    return counted.orderBy(F.desc("count"), "endpoint").limit(k)
 
 
 # ---- errors -----------------------------------------------------------------
@@ -64,19 +75,13 @@ def latency_summary(logs: DataFrame) -> DataFrame:
     )
 
 
-def _latency_by_endpoint(logs: DataFrame, hits: str) -> DataFrame:
-    return logs.groupBy("endpoint").agg(
-        F.count(F.lit(1)).alias(hits), F.avg("response_time_ms").alias("avg_latency_ms")
-    )
-
-
 def _rounded_latency(table: DataFrame) -> DataFrame:
     return table.withColumn("avg_latency_ms", F.round("avg_latency_ms", 2))
 
 
 def slowest_endpoints(logs: DataFrame, min_requests: int = 10, k: int = 10) -> DataFrame:
     """The ``k`` endpoints slowest on average, of those with more than ``min_requests``."""
-    by_endpoint = _latency_by_endpoint(logs, "request_count")
+    by_endpoint = endpoint_totals(logs).withColumnRenamed("count", "request_count")
     slowest = (
         by_endpoint.where(F.col("request_count") > min_requests)
         .orderBy(F.desc("avg_latency_ms"), "endpoint")
@@ -93,7 +98,7 @@ def slowest_requests(logs: DataFrame, k: int = 10) -> DataFrame:
 
 def slow_endpoints(logs: DataFrame, min_hits: int = 10, min_avg_ms: float = 2000) -> DataFrame:
     """Endpoints with more than ``min_hits`` and an unrounded average above the cut."""
-    by_endpoint = _latency_by_endpoint(logs, "hit_count")
+    by_endpoint = endpoint_totals(logs).withColumnRenamed("count", "hit_count")
     slow = by_endpoint.where(
         (F.col("hit_count") > min_hits) & (F.col("avg_latency_ms") > min_avg_ms)
     )

@@ -12,8 +12,20 @@ from shoplens.functions import percentage
 from shoplens.operators.reports import metric_rows
 
 
+def ip_totals(logs: DataFrame) -> DataFrame:
+    """(ip, request_count, requests_404); several analyses start from this table.
+
+    Persist it before running more than one of them on the same logs: Spark then
+    uses the kept table wherever an analysis asks for it.
+    """
+    return logs.groupBy("ip").agg(
+        F.count(F.lit(1)).alias("request_count"),
+        F.count_if(F.col("status") == 404).alias("requests_404"),
+    )
+
+
 def requests_per_ip(logs: DataFrame) -> DataFrame:
-    return logs.groupBy("ip").agg(F.count(F.lit(1)).alias("request_count"))
+    return ip_totals(logs).select("ip", "request_count")
 
 
 def top_ips(logs: DataFrame, k: int = 10) -> DataFrame:
@@ -44,10 +56,16 @@ def bounce_rate(logs: DataFrame, per: Column | None = None) -> DataFrame:
 
     With ``per``, such as a day, one such row for each of its values.
     """
-    by = [] if per is None else [per.alias("period")]
-    visits = logs.groupBy(*by, "ip").agg(F.count(F.lit(1)).alias("n"))
-    counted = visits.groupBy(*["period" for _ in by]).agg(
-        F.count(F.lit(1)).alias("unique_ips"), F.count_if(F.col("n") == 1).alias("bounced_ips")
+    if per is None:
+        visits, period = requests_per_ip(logs), []
+    else:
+        period = ["period"]
+        visits = logs.groupBy(per.alias("period"), "ip").agg(
+            F.count(F.lit(1)).alias("request_count")
+        )
+    counted = visits.groupBy(*period).agg(
+        F.count(F.lit(1)).alias("unique_ips"),
+        F.count_if(F.col("request_count") == 1).alias("bounced_ips"),
     )
     return counted.withColumn(
         "bounce_rate", percentage(F.col("bounced_ips"), F.col("unique_ips"))
@@ -59,7 +77,7 @@ FUNNEL_STEPS = ("/home", "/products", "/product/*", "/cart", "/checkout")
 
 
 def on_step(step: str) -> Column:
-    """Whether a request is for the page ``step`` or, ending in ``*``, starts with the rest of it."""
+    """Whether a request is for ``step``; a final ``*`` stands for any rest."""
     endpoint = F.col("endpoint")
     return endpoint.startswith(step[:-1]) if step.endswith("*") else endpoint == step
 
@@ -104,12 +122,10 @@ def abusive_ips(logs: DataFrame, window: str = "1 minute", threshold: int = 50)
 
 def high_404_ips(logs: DataFrame, min_requests: int = 10, rate: float = 50) -> DataFrame:
     """Addresses whose share of 404 answers, rounded, is above ``rate`` percent."""
-    by_ip = logs.groupBy("ip").agg(
-        F.count(F.lit(1)).alias("total_requests"),
-        F.count_if(F.col("status") == 404).alias("requests_404"),
-    )
-    rated = by_ip.withColumn(
-        "rate_404", percentage(F.col("requests_404"), F.col("total_requests"))
+    rated = (
+        ip_totals(logs)
+        .withColumnRenamed("request_count", "total_requests")
+        .withColumn("rate_404", percentage(F.col("requests_404"), F.col("total_requests")))
     )
     return rated.where(
         (F.col("total_requests") > min_requests) & (F.col("rate_404") > rate)

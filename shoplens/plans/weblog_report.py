@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -69,18 +70,26 @@ def run_weblog_report(spark: SparkSession, lines_path: str, output: str) -> list
 
     The analyses read the Parquet dataset, each its own columns; reading the
     text instead would match every line against the pattern once per analysis.
+    The totals per address and per endpoint are kept for the ones that share them.
     """
     dataset = f"{output}/processed_logs"
     quality = save_parsed(read_lines(spark, lines_path), dataset)
     logs = spark.read.schema(schemas.REQUESTS).parquet(dataset)
 
+    shared = [visitors.ip_totals(logs), traffic.endpoint_totals(logs)]
+    for totals in shared:
+        totals.persist(StorageLevel.MEMORY_AND_DISK)
     figures = log_figures(logs)
     figures["weblog_quality"] = spark.createDataFrame(
         [tuple(quality.values())], "total BIGINT, valid BIGINT, invalid BIGINT"
     )
-    for name, figure in figures.items():
-        write_report(figure, f"{output}/{name}")
     findings = log_findings(logs)
-    for name, finding in findings.items():
-        write_dataset(finding, f"{output}/{name}", format="csv")
+    try:
+        for name, figure in figures.items():
+            write_report(figure, f"{output}/{name}")
+        for name, finding in findings.items():
+            write_dataset(finding, f"{output}/{name}", format="csv")
+    finally:
+        for totals in shared:
+            totals.unpersist()
     return [*figures, *findings]

@@ -58,7 +58,7 @@ def test_latency(spark):
 def test_average_is_compared_unrounded(spark):
     # 2000.004 rounds to the cut but lies above it.
     logs = requests(
-        spark, *[req(ms=2000) for _ in range(249)], req(ms=2001), *[req(endpoint="/b", ms=2000)] * 11
+        spark, *[req(ms=2000)] * 249, req(ms=2001), *[req(endpoint="/b", ms=2000)] * 11
     )
     assert rows(traffic.slow_endpoints(logs)) == [("/home", 250, 2000.0)]
     assert rows(traffic.slow_endpoint_status_latency(logs)) == [("/home", 200, 2000.0)]
@@ -156,6 +156,29 @@ def test_bounce_rate_per_day(spark):
     ]
 
 
+def test_kept_totals_serve_every_analysis(spark):
+    logs = requests(spark, *[req("a")] * 3, req("b", status=404))
+    analyses = {
+        visitors.ip_totals: [
+            visitors.top_ips,
+            visitors.requests_per_ip_stats,
+            visitors.bot_ips,
+            visitors.bounce_rate,
+            visitors.high_404_ips,
+        ],
+        traffic.endpoint_totals: [
+            traffic.top_endpoints,
+            traffic.slowest_endpoints,
+            traffic.slow_endpoints,
+        ],
+    }
+    for shared, users in analyses.items():
+        assert not any("InMemoryTableScan" in plan(analysis(logs)) for analysis in users)
+        kept = shared(logs).persist()
+        assert all("InMemoryTableScan" in plan(analysis(logs)) for analysis in users)
+        kept.unpersist()
+
+
 def test_funnel_counts_addresses_per_step(spark):
     logs = requests(
         spark,
