@@ -75,6 +75,3 @@ def text_bytes(text: str) -> Column:
     """A text column as UTF-8 bytes; null counts as empty."""
     return F.coalesce(F.col(text), F.lit("")).cast("binary")
 
-
-def bit_length(value: Column) -> Column:
-    return F.when(value > 0, F.length(F.bin(value))).otherwise(0)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import length_buckets
+from shoplens.llm import length_buckets, quality, secrets
 from shoplens.llm.common import ship
 
 
@@ -14,6 +14,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return ship(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return quality.rate(_table(spark, sf_dir, "documents")).drop("n_lines", "n_echoes")
+
+
+def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document."""
+    return secrets.find_secrets(_table(spark, sf_dir, "documents"))
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pieces of all documents with their sequences."""
     pieces = length_buckets.cut_documents(_table(spark, sf_dir, "documents"), with_ids=False)
@@ -22,6 +32,8 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_quality_limits": op1_quality_limits,
+        "op8_secret_scan": op8_secret_scan,
         "op10_length_buckets": op10_length_buckets,
     }
 
