@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import length_buckets, quality, secrets, vector_shards
+from shoplens.llm import length_buckets, quality, secrets, vector_shards, warc_bundles
 from shoplens.llm.common import ship
 
 
@@ -24,6 +24,11 @@ def op4_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_shards.assign(_table(spark, sf_dir, "documents"))
 
 
+def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's record, written to archives and read back."""
+    return warc_bundles.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of every document."""
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
@@ -39,6 +44,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
         "op4_vector_shards": op4_vector_shards,
+        "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
         "op10_length_buckets": op10_length_buckets,
     }

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import public_tokenizers
@@ -12,7 +12,9 @@ from tokenizers import Tokenizer, pre_tokenizers
 #: The vocabulary file of the registered queries.
 VOCABULARY = "word_bpe_49k.json"
 #: Words kept in one generation of the memo (about 0.2 kB each), and so many of their parts.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 150_000
+#: Bytes of text that are cut into words at a time.
+AT_ONCE = 1 << 20
 
 # Of words in these letters, figures and signs the parts are known without the whole chain of
 # normalizer and splitter: no sign here composes, none is dropped, each has one lower case.
@@ -60,9 +62,18 @@ class WordTokens:
             found.append(ids)
         return b"".join(found)
 
-    def encode(self, texts: Iterable[bytes | None]) -> list[bytes]:
-        """The ids of each text; empty for null."""
-        split = [(t or b"").split() for t in texts]
+    def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
+        """The ids of each text in turn; none for null. Some texts are taken at a time."""
+        part, size = [], 0
+        for text in texts:
+            part.append((text or b"").split())
+            size += len(text or b"")
+            if size >= AT_ONCE:
+                yield from self._encode(part)
+                part, size = [], 0
+        yield from self._encode(part)
+
+    def _encode(self, split: list[list[bytes]]) -> list[bytes]:
         if len(self.young) > MEMO_WORDS:
             self.old, self.young = self.young, {}
         young, old = self.young, self.old

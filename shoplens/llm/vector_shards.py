@@ -19,22 +19,24 @@ LOTS = 256
 WHOLE = 8
 #: Bytes that a document takes besides its text.
 ROW_BYTES = 8
-MEASURES = ("bytes", "words", "rows")
+#: How much a residue counts: bytes, words, rows.
+WEIGHTS = (4.0, 1.0, 1.0)
 
 
 def place(items: np.ndarray, shards: int) -> np.ndarray:
     """The shard of each item (a row of nonnegative measures).
 
-    Items go in order of their largest share, each where the dot product of its shares with
-    the residual capacities is highest; ties go to the lower shard. Capacity is the even share
+    Items go in order of their largest share, each where the weighted dot product of its shares
+    with the residual capacities is highest; ties go to the lower shard. Capacity is the even share
     of each measure, and a shard that is full in a measure has a negative residue there.
     """
     total = items.sum(axis=0, dtype=float)
     share = items / np.where(total > 0, total, 1) * shards
     residue = np.where(total > 0, 1.0, 0.0) * np.ones((shards, items.shape[1]))
+    weights = np.array(WEIGHTS[: items.shape[1]])
     where = np.zeros(len(items), np.int64)
     for i in np.lexsort([np.arange(len(items)), -share.max(axis=1)]):
-        best = int(np.argmax(residue @ share[i]))
+        best = int(np.argmax(residue @ (share[i] * weights)))
         where[i] = best
         residue[best] -= share[i]
     return where
