@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import length_buckets, quality, secrets, vector_shards, warc_bundles
+from shoplens.llm import length_buckets, near_duplicates, quality, secrets, vector_shards, warc_bundles
 from shoplens.llm.common import ship
 
 
@@ -19,6 +19,11 @@ def op1_quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(_table(spark, sf_dir, "documents")).drop("n_lines", "n_echoes")
 
 
+def op3_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's component of near duplicates."""
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op4_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's shard of 24 and its place there."""
     return vector_shards.assign(_table(spark, sf_dir, "documents"))
@@ -43,6 +48,7 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
+        "op3_super_minhash": op3_super_minhash,
         "op4_vector_shards": op4_vector_shards,
         "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
