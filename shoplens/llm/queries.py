@@ -6,7 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shoplens.llm import length_buckets, near_duplicates, quality, secrets, vector_shards, warc_bundles
+from shoplens.llm import (
+    decontaminate,
+    length_buckets,
+    near_duplicates,
+    quality,
+    secrets,
+    vector_shards,
+    warc_bundles,
+)
 from shoplens.llm.common import ship
 
 
@@ -19,6 +27,13 @@ def op1_quality_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.rate(_table(spark, sf_dir, "documents")).drop("n_lines", "n_echoes")
 
 
+def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document and benchmark item that it holds."""
+    return decontaminate.contaminated(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+
+
 def op3_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near duplicates."""
     return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
@@ -48,6 +63,7 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
+        "op2_spaced_seeds": op2_spaced_seeds,
         "op3_super_minhash": op3_super_minhash,
         "op4_vector_shards": op4_vector_shards,
         "op7_warc_bundles": op7_warc_bundles,
@@ -57,4 +73,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op2_spaced_seeds": decontaminate.SQL,
+    }
