@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from shoplens.llm import (
     decontaminate,
     length_buckets,
@@ -69,6 +70,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
         "op10_length_buckets": op10_length_buckets,
+        "pipeline": corpus_pipeline.run,
     }
 
 
