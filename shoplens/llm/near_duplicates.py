@@ -35,6 +35,7 @@ _STEP = _U(0x9E3779B97F4A7C15)
 _FACTORS = np.array(
     [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], _U
 )
+_STEPS = np.arange(1, PLACES + 1, dtype=_U) * _STEP
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
 
 
@@ -79,7 +80,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
     element = np.concatenate(sets) if sets else np.empty(0, _U)
     order = None  # for each element left, its permutation
     for step in range(PLACES):
-        draw = mix(element + _U(step + 1) * _STEP)
+        draw = mix(element + _STEPS[step])
         other = step + (((draw & _U(0xFFFFFFFF)) * _U(PLACES - step)) >> _U(32)).astype(np.int64)
         if order is None:
             place = other
@@ -108,7 +109,7 @@ def signatures(sets: list[np.ndarray]) -> np.ndarray:
 def bands(values: np.ndarray) -> np.ndarray:
     """The bucket of each signature in each band."""
     parts = values.reshape(len(values), BANDS, ROWS)
-    total = np.broadcast_to(np.arange(BANDS, dtype=_U), parts.shape[:2]) * _STEP
+    total = np.broadcast_to(_STEPS[:BANDS], parts.shape[:2])
     for k in range(ROWS):
         total = mix(total + parts[:, :, k] * _FACTORS[k % 4])
     return total.view(np.int64)

@@ -11,6 +11,7 @@ from shoplens.llm import (
     decontaminate,
     length_buckets,
     near_duplicates,
+    personal_data,
     quality,
     secrets,
     vector_shards,
@@ -55,6 +56,11 @@ def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op9_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data.find_personal_data(_table(spark, sf_dir, "documents"))
+
+
 def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All pieces of all documents with their sequences."""
     pieces = length_buckets.cut_documents(_table(spark, sf_dir, "documents"), with_ids=False)
@@ -69,6 +75,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_vector_shards": op4_vector_shards,
         "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
+        "op9_personal_data": op9_personal_data,
         "op10_length_buckets": op10_length_buckets,
         "pipeline": corpus_pipeline.run,
     }
