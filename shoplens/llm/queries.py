@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 from shoplens.llm import (
+    best_fit,
     decontaminate,
     length_buckets,
     near_duplicates,
@@ -46,6 +47,11 @@ def op4_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_shards.assign(_table(spark, sf_dir, "documents"))
 
 
+def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the packed matrices of all documents."""
+    return best_fit.pack(_table(spark, sf_dir, "documents"))
+
+
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, written to archives and read back."""
     return warc_bundles.round_trip(_table(spark, sf_dir, "pages"))
@@ -73,6 +79,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_spaced_seeds": op2_spaced_seeds,
         "op3_super_minhash": op3_super_minhash,
         "op4_vector_shards": op4_vector_shards,
+        "op5_best_fit": op5_best_fit,
         "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
         "op9_personal_data": op9_personal_data,
