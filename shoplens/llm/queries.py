@@ -14,6 +14,7 @@ from shoplens.llm import (
     near_duplicates,
     personal_data,
     quality,
+    repeats,
     secrets,
     vector_shards,
     warc_bundles,
@@ -52,6 +53,11 @@ def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.pack(_table(spark, sf_dir, "documents"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What repeated passages leave of every document."""
+    return repeats.remove_repeats(_table(spark, sf_dir, "documents"), with_kept=False)
+
+
 def op7_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's record, written to archives and read back."""
     return warc_bundles.round_trip(_table(spark, sf_dir, "pages"))
@@ -80,6 +86,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_super_minhash": op3_super_minhash,
         "op4_vector_shards": op4_vector_shards,
         "op5_best_fit": op5_best_fit,
+        "op6_repeats": op6_repeats,
         "op7_warc_bundles": op7_warc_bundles,
         "op8_secret_scan": op8_secret_scan,
         "op9_personal_data": op9_personal_data,
