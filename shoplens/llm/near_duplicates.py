@@ -24,8 +24,6 @@ PERCENT = 80
 BANDS = 32
 ROWS = 4
 PLACES = BANDS * ROWS
-#: Rounds in which buckets are linked with one of their documents before all rest is compared.
-STAR_ROUNDS = 3
 #: Shingles whose signatures are made together, and words whose hashes a worker remembers.
 AT_ONCE = 1 << 15
 MEMO_WORDS = 300_000
@@ -186,33 +184,43 @@ def sign(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     )
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id: str, text: str):
-    """Those of the pairs (a, b) of nodes whose full sets are similar enough."""
-    nodes = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    wanted = small_side(
-        settle(
-            classes.join(nodes, "node").select(
-                "node", F.col("k1").alias("c1"), F.col("k2").alias("c2")
-            )
-        )
+def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id: str, text: str):
+    """node, items: the full sets of some nodes."""
+    wanted = settle(
+        classes.join(nodes, "node").select("node", F.col("k1").alias("c1"), F.col("k2").alias("c2"))
     )
     make = F.arrow_udf(_sets, "struct<k1:bigint,k2:bigint,items:array<bigint>>")
-    sets = settle(
+    return settle(
         docs.select(F.col(id).alias("node"), text_bytes(text).alias("text"))
-        .join(wanted, "node")
+        .join(small_side(wanted), "node")
         .withColumn("s", make.asNondeterministic()("text"))
         .filter("s.k1 = c1 and s.k2 = c2")
         .select("node", "s.items")
     )
+
+
+def _laid_side_by_side(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b and their sets x, y."""
     one = sets.select(F.col("node").alias("a"), F.col("items").alias("x"))
     two = sets.select(F.col("node").alias("b"), F.col("items").alias("y"))
+    return pairs.join(one, "a").join(two, "b")
+
+
+def _compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, the sizes of their sets, how many elements they share, whether that links them."""
     shared = F.size(F.array_intersect("x", "y"))
+    both = F.col("size_a") + F.col("size_b") - F.col("shared")
     return (
-        pairs.join(one, "a")
-        .join(two, "b")
-        .filter(100 * shared >= PERCENT * (F.size("x") + F.size("y") - shared))
-        .select("a", "b")
+        _laid_side_by_side(pairs, sets)
+        .select(
+            "a",
+            "b",
+            F.size("x").alias("size_a"),
+            F.size("y").alias("size_b"),
+            shared.alias("shared"),
+        )
         .distinct()
+        .withColumn("linked", 100 * F.col("shared") >= PERCENT * both)
     )
 
 
@@ -222,18 +230,30 @@ def _with_component(members: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def _ordered(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _lonely(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, node, lonely: elements of a node that neither ``a`` nor another node of its stars has."""
+    extra = _laid_side_by_side(
+        stars.select("a", F.col("node").alias("b")).distinct(), sets
+    ).select("a", "b", F.explode(F.array_except("y", "x")).alias("item"))
+    return (
+        extra.groupBy("a", "item")
+        .agg(F.min("b").alias("node"), F.max("b").alias("last"))
+        .filter("node = last")
+        .groupBy("a", "node")
+        .agg(F.count("*").alias("lonely"))
+    )
 
 
 def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
     """Classes of equal sets (k1, k2, node) and the components of their nodes.
 
-    A node is the smallest id of a class, so copies are one node from here on. In each bucket
-    of a band the documents are first compared with one of them, and those that are not linked
-    after that with another, ``STAR_ROUNDS`` times. Then, in buckets that still hold several
-    components, all pairs of different components that were not compared are: no pair that
-    meets in a band is left out, and a group of copies does not become all its pairs.
+    A node is the smallest id of a class, so copies are one node from here on. Each bucket of a
+    band is a star: its head, the node that meets most others, is compared with all others.
+    What then lies in different components of a bucket is compared, too, unless its distances
+    from the head rule a link out: sets x and y that differ from the head in d(x) and d(y)
+    elements differ from each other in at least d(x) + d(y) - 2 min(t(x), t(y)), where t leaves
+    out the elements that no other set of the star has. So no link between nodes that meet in a
+    band is lost, and a group of copies does not become all its pairs.
     """
     classes = settle(
         signed.filter("n_shingles > 0 and doc_id is not null")
@@ -241,49 +261,70 @@ def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[Data
         .agg(F.min("doc_id").alias("node"), F.any_value("bands").alias("bands"))
     )
     members = classes.select("node", F.explode("bands").alias("bucket"))
-    heads = members.groupBy("bucket").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-    met = settle(members.join(heads.filter("n > 1").select("bucket", "a"), "bucket"))
-    tried = settle(_ordered(met.filter("a < node").select("a", F.col("node").alias("b"))))
-    links = settle(_verified(tried, classes, docs, id, text))
-    for round_ in range(1, STAR_ROUNDS + 1):
-        labels = components(links)
-        now = _with_component(met.select("node", "bucket"), labels)
-        several = (
-            now.groupBy("bucket")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .filter("low < high")
-        )
-        mixed = settle(now.join(several, "bucket"))
-        if mixed.isEmpty():
-            return classes, labels
-        if round_ < STAR_ROUNDS:
-            # a document of another component than the first, by a hash that differs by round
-            star = (
-                mixed.filter("component > low")
-                .groupBy("bucket")
-                .agg(
-                    F.min(F.struct(F.xxhash64("node", F.lit(round_)), "node", "component")).alias(
-                        "h"
-                    )
-                )
-                .select("bucket", F.col("h.node").alias("a"), F.col("h.component").alias("c"))
-            )
-        else:
-            star = mixed.select("bucket", F.col("node").alias("a"), F.col("component").alias("c"))
-        other = F.col("component") != F.col("c")
-        if round_ == STAR_ROUNDS:
-            other = F.col("component") > F.col("c")
-        pairs = _ordered(
-            mixed.select("bucket", "node", "component")
-            .join(star, "bucket")
-            .filter(other)
-            .select("a", F.col("node").alias("b"))
+    several = members.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
+    met = settle(members.join(several, "bucket"))
+    meets = met.groupBy("node").agg(F.sum("n").alias("meets"))
+    heads = (
+        met.join(meets, "node")
+        .groupBy("bucket")
+        .agg(F.max(F.struct("meets", (-F.col("node")).alias("node"))).alias("head"))
+        .select("bucket", (-F.col("head.node")).alias("a"))
+    )
+    stars = settle(met.join(heads, "bucket").filter("a != node").select("bucket", "a", "node"))
+    sets = _sets_of(met.select("node").distinct(), classes, docs, id, text)
+    tried = settle(
+        _compared(stars.select("a", F.col("node").alias("b")).distinct(), sets)
+    )
+    links = tried.filter("linked").select("a", "b")
+    labels = components(links)
+
+    of_head = labels.select(F.col("node").alias("a"), F.col("component").alias("of_a"))
+    placed = (
+        _with_component(stars, labels)
+        .join(of_head, "a", "left")
+        .withColumn("of_a", F.coalesce("of_a", "a"))
+    )
+    mixed = placed.groupBy("bucket").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    open_ = settle(
+        placed.join(mixed.filter("low < high").select("bucket"), "bucket", "left_semi")
+    )
+    if open_.isEmpty():
+        return classes, labels
+    distance = F.col("size_a") + F.col("size_b") - 2 * F.col("shared")
+    measured = tried.select(
+        "a", F.col("b").alias("node"), F.col("size_b").alias("size"), distance.alias("d")
+    )
+    # sets of sizes n and m are linked if they differ in (n + m) * near elements at most, and
+    # then the smaller has PERCENT of the larger
+    near = (100 - PERCENT) / (100 + PERCENT) + 1e-9
+    rated = settle(
+        open_.join(measured, ["a", "node"])
+        .join(_lonely(open_, sets), ["a", "node"], "left")
+        .withColumn("lonely", F.coalesce("lonely", F.lit(0)))
+        .withColumn("t", F.col("d") - F.col("lonely"))
+        .filter(F.col("lonely") <= near * (1 + 100 / PERCENT) * F.col("size"))
+    )
+    one = rated.filter("component != of_a")
+    told_apart = ("node", "component", "d", "t", "size")
+    two = rated.select("bucket", *[F.col(c).alias(f"{c}_2") for c in told_apart])
+    possible = (
+        (F.col("component") != F.col("component_2"))
+        & ((F.col("component_2") == F.col("of_a")) | (F.col("node") < F.col("node_2")))
+        & (
+            F.col("d") + F.col("d_2") - 2 * F.least("t", "t_2")
+            <= near * (F.col("size") + F.col("size_2"))
         )
-        fresh = settle(pairs.join(tried, ["a", "b"], "left_anti"))
-        if not fresh.isEmpty():
-            tried = settle(tried.union(fresh))
-            links = settle(links.union(_verified(fresh, classes, docs, id, text)))
-    return classes, components(links)
+    )
+    pairs = (
+        one.join(two, "bucket")
+        .filter(possible)
+        .select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
+        .distinct()
+    )
+    more = settle(_compared(pairs, sets).filter("linked").select("a", "b"))
+    return classes, labels if more.isEmpty() else components(links.union(more))
 
 
 def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
