@@ -31,6 +31,11 @@ def words(text: str) -> Column:
     return F.transform(split, lambda word: F.xxhash64(word))
 
 
+def once(value: Column) -> Column:
+    """``value`` as a column of a row of its own, so that it is not worked out at each use."""
+    return F.explode(F.array(value))
+
+
 def seeds(hashes: Column) -> Column:
     """The seeds of all masks at all places, as (seed, place)."""
 
@@ -62,16 +67,20 @@ def items(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> Data
     )
 
 
-def overlap(doc: Column, item: Column, shift: Column) -> Column:
-    """The most equal words of a window of an item laid on a document from word ``shift``."""
-    same = F.transform(
+def equal_words(doc: Column, item: Column, shift: Column) -> Column:
+    """1 or 0 for each word of an item laid on a document from word ``shift``."""
+    return F.transform(
         item, lambda word, at: F.when(F.get(doc, shift + at) == word, 1).otherwise(0)
     )
-    size = F.least(F.size(item), F.lit(PASSAGE))
+
+
+def best_window(equal: Column) -> Column:
+    """The most equal words of a window."""
+    size = F.least(F.size(equal), F.lit(PASSAGE))
     return F.array_max(
         F.transform(
-            F.sequence(F.lit(1), F.size(item) - size + 1),
-            lambda at: F.aggregate(F.slice(same, at, size), F.lit(0), lambda a, b: a + b),
+            F.sequence(F.lit(1), F.size(equal) - size + 1),
+            lambda at: F.aggregate(F.slice(equal, at, size), F.lit(0), lambda a, b: a + b),
         )
     )
 
@@ -105,7 +114,7 @@ def contaminated(
     whole = docs.filter(F.col(id).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id).alias("doc_id"), F.col(text).alias("text")
     )
-    hashed = whole.select("doc_id", words("text").alias("doc"))
+    hashed = whole.select("doc_id", once(words("text")).alias("doc"))
     found = hashed.select("doc_id", F.inline(seeds(F.col("doc"))))
     candidates = settle(
         found.join(small_side(known, MAX_BROADCAST), "seed")
@@ -115,15 +124,15 @@ def contaminated(
     laid = (
         whole.join(small_side(candidates, MAX_BROADCAST), "doc_id")
         .join(small_side(wanted, 10_000), "item_id")
-        .select("doc_id", "item_id", "shift", "item", words("text").alias("doc"))
+        .select("doc_id", "item_id", "shift", "item", once(words("text")).alias("doc"))
     )
     compared = laid.select(
         "doc_id",
         "item_id",
         "shift",
         F.size("item").alias("item_words"),
-        overlap(F.col("doc"), F.col("item"), F.col("shift")).alias("matched"),
-    )
+        once(equal_words(F.col("doc"), F.col("item"), F.col("shift"))).alias("equal"),
+    ).withColumn("matched", best_window(F.col("equal")))
     enough = 100 * F.col("matched") >= PERCENT * F.least("item_words", F.lit(PASSAGE))
     best = F.min(F.struct(-F.col("matched"), "shift"))
     return (
@@ -144,7 +153,8 @@ def drop_contaminated(
     docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item of the benchmark, with all their columns."""
-    held = settle(contaminated(docs, benchmark, id, text).select(F.col("doc_id").alias(id)).distinct())
+    found = contaminated(docs, benchmark, id, text)
+    held = settle(found.select(F.col("doc_id").alias(id)).distinct())
     return docs.join(small_side(held, MAX_BROADCAST), id, "left_anti").select(docs.columns)
 
 
