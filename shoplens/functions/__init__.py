@@ -1,6 +1,14 @@
 """Column expressions shared by the operators."""
 
-from shoplens.functions.amounts import amount_text, percentage
+from shoplens.functions.amounts import amount_text, exact_average, exact_sum, percentage
 from shoplens.functions.logline import LINE_PATTERN, TIME_FORMAT, line_fields
 
-__all__ = ["LINE_PATTERN", "TIME_FORMAT", "amount_text", "line_fields", "percentage"]
+__all__ = [
+    "LINE_PATTERN",
+    "TIME_FORMAT",
+    "amount_text",
+    "exact_average",
+    "exact_sum",
+    "line_fields",
+    "percentage",
+]

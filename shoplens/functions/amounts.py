@@ -11,6 +11,20 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.coalesce(F.try_divide(part, whole), F.lit(0.0)) * 100, digits)
 
 
+def exact_sum(amount: Column, scale: int = 6) -> Column:
+    """The sum of a double column as a decimal, the same whatever the order of adding.
+
+    Each amount counts with ``scale`` digits after the point and may have ``28 - scale`` before
+    it; a larger one is an error, as is one that is no number.
+    """
+    return F.sum(amount.cast(f"decimal(28,{scale})"))
+
+
+def exact_average(amount: Column, scale: int = 6) -> Column:
+    """``exact_sum`` over the number of amounts, as a double; null for none."""
+    return F.try_divide(exact_sum(amount, scale).cast("double"), F.count(amount))
+
+
 def amount_text(amount: Column, currency: str | None = None) -> Column:
     """An amount with two decimals: ``1234.50``, or ``1,234.50 USD`` with a currency.
 

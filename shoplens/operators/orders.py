@@ -96,8 +96,12 @@ def orders_in_status_list(
 
 
 def order_code(orders: DataFrame, width: int = 5) -> DataFrame:
-    """Add ``orderCode``, the number padded with zeros or cut to ``width`` digits."""
-    digits = F.lpad(F.col("orderNumber").cast("string"), width, "0")
+    """Add ``orderCode``, the number padded with zeros to at least ``width`` digits.
+
+    Longer numbers stay whole, so that a code names one order.
+    """
+    number = F.col("orderNumber").cast("string")
+    digits = F.when(F.length(number) >= width, number).otherwise(F.lpad(number, width, "0"))
     return orders.withColumn("orderCode", F.concat(F.lit("ORDER-"), digits))
 
 

@@ -7,8 +7,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
-from shoplens.functions import percentage
+from shoplens.functions import exact_average, exact_sum, percentage
 
 
 def named(column: str) -> Column:
@@ -65,34 +66,45 @@ def numeric_stats(
     columns: Sequence[str],
     by: Sequence[str] = (),
     digits: int = 2,
+    scale: int = 6,
 ) -> DataFrame:
     """count, sum, min, max and avg of each column as ``<column>_<statistic>``.
 
-    The count leaves nulls out. Sums and averages are rounded, since the order
-    in which tasks add doubles changes their last bits.
+    The count leaves nulls out. Values are added as decimals with ``scale`` digits after the
+    point, so sums and averages do not depend on the order in which tasks add; both are rounded
+    to ``digits`` and given as doubles.
     """
     stats = []
     for column in columns:
         value = named(column)
         stats += [
             F.count(value).alias(f"{column}_count"),
-            F.round(F.sum(value), digits).alias(f"{column}_sum"),
+            F.round(exact_sum(value, scale), digits).cast("double").alias(f"{column}_sum"),
             F.min(value).alias(f"{column}_min"),
             F.max(value).alias(f"{column}_max"),
-            F.round(F.avg(value), digits).alias(f"{column}_avg"),
+            F.round(exact_average(value, scale), digits).alias(f"{column}_avg"),
         ]
     return table.groupBy(*[named(key) for key in by]).agg(*stats)
 
 
 def top_groups(
-    table: DataFrame, key: str, value: str, name: str, k: int = 1, digits: int = 2
+    table: DataFrame,
+    key: str,
+    value: str,
+    name: str,
+    k: int = 1,
+    digits: int = 2,
+    scale: int = 6,
 ) -> DataFrame:
     """The ``k`` groups with the largest sum of ``value``, ties by key.
 
-    Ranks by the rounded sum, so the winner does not depend on the order in
-    which tasks add doubles.
+    Whole numbers are added as such, others as decimals with ``scale`` digits after the point
+    and rounded to ``digits``. So the winner does not depend on the order in which tasks add.
     """
-    summed = table.groupBy(named(key)).agg(F.round(F.sum(named(value)), digits).alias(name))
+    whole = isinstance(table.schema[value].dataType, IntegralType)
+    amount = named(value)
+    total = F.sum(amount) if whole else F.round(exact_sum(amount, scale), digits).cast("double")
+    summed = table.groupBy(named(key)).agg(total.alias(name))
     return summed.orderBy(named(name).desc(), named(key)).limit(k)
 
 

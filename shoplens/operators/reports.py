@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shoplens.functions import amount_text
+from shoplens.functions import amount_text, exact_average, exact_sum
 from shoplens.operators.traffic import is_client_error, is_server_error
 
 
@@ -31,11 +31,16 @@ def ecommerce_summary(
     orders: DataFrame,
     currency: str | None = None,
 ) -> DataFrame:
-    """(Metric, Value) as text: table sizes, revenue and average order value."""
+    """(Metric, Value) as text: table sizes, revenue and average order value.
+
+    Amounts are added as decimals, see ``functions.exact_sum``.
+    """
     rows = F.count(F.lit(1)).alias("n")
     text = F.col("n").cast("string")
     order_figures = orders.agg(
-        rows, F.sum("totalAmount").alias("revenue"), F.avg("totalAmount").alias("average")
+        rows,
+        exact_sum(F.col("totalAmount")).cast("double").alias("revenue"),
+        exact_average(F.col("totalAmount")).alias("average"),
     )
     return (
         metric_rows(customers.agg(rows), {"Total Customers": text})
@@ -53,6 +58,33 @@ def ecommerce_summary(
     )
 
 
+def log_summary_of_totals(
+    by_hour: DataFrame, by_page: DataFrame, by_ip: DataFrame
+) -> DataFrame:
+    """``log_summary`` from kept totals, without another pass over the requests."""
+    requests = F.coalesce(F.sum("requests"), F.lit(0))
+    client = F.coalesce(F.sum(F.when(is_client_error(), F.col("requests"))), F.lit(0))
+    server = F.coalesce(F.sum(F.when(is_server_error(), F.col("requests"))), F.lit(0))
+    counted = by_hour.agg(
+        requests.alias("requests"), client.alias("client"), server.alias("server")
+    )
+    ips = by_ip.agg(F.count("ip").alias("n"))
+    pages = by_page.select("endpoint").distinct().agg(F.count("endpoint").alias("n"))
+    return (
+        metric_rows(
+            counted,
+            {"Total Requests": F.col("requests"), "Valid Requests": F.col("requests")},
+        )
+        .unionByName(metric_rows(ips, {"Unique IPs": F.col("n")}))
+        .unionByName(metric_rows(pages, {"Unique Pages": F.col("n")}))
+        .unionByName(
+            metric_rows(
+                counted, {"4xx Errors": F.col("client"), "5xx Errors": F.col("server")}
+            )
+        )
+    )
+
+
 def log_summary(logs: DataFrame) -> DataFrame:
     """(Metric, Value) of parsed requests, in one pass.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shoplens.functions import exact_average
 from shoplens.operators.profile import numeric_stats, share, top_groups, value_counts
 
 
@@ -50,7 +51,7 @@ def credit_by_segment(customers: DataFrame, count_rows: bool = False) -> DataFra
         customers.groupBy("customerSegment")
         .agg(
             F.count(counted).alias("Count"),
-            F.round(F.avg("creditLimit"), 2).alias("Average_Credit"),
+            F.round(exact_average(F.col("creditLimit")), 2).alias("Average_Credit"),
             F.round(F.max("creditLimit"), 2).alias("Max_Credit"),
         )
         .orderBy(F.desc("Average_Credit"), "customerSegment")

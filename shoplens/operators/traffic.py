@@ -1,4 +1,8 @@
-"""Distributions, errors, latency and hourly traffic of parsed requests."""
+"""Distributions, errors, latency and hourly traffic of parsed requests.
+
+Each analysis but ``slowest_requests`` takes requests or totals of them, as ``totals`` gives,
+and finds the same: a request is a total of one.
+"""
 
 from __future__ import annotations
 
@@ -6,30 +10,83 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import percentage
-from shoplens.operators.profile import value_counts
+
+
+def _as_totals(logs: DataFrame) -> DataFrame:
+    if "requests" in logs.columns:
+        return logs
+    latency = F.col("response_time_ms")
+    return logs.withColumns(
+        {
+            "hour": F.hour("parsed_timestamp").cast("bigint"),
+            "requests": F.lit(1).cast("bigint"),
+            "timed": F.when(latency.isNull(), 0).otherwise(1).cast("bigint"),
+            "total_ms": latency.cast("bigint"),
+            "min_ms": latency.cast("bigint"),
+            "max_ms": latency.cast("bigint"),
+        }
+    )
+
+
+def totals(logs: DataFrame, *keys: str) -> DataFrame:
+    """Number, sum and extremes of latency per combination of ``keys``.
+
+    ``keys`` are columns of requests, or ``hour``. Worth persisting where several analyses need
+    no other column. Latencies are whole milliseconds, so sums and averages stay exact.
+    """
+    return _as_totals(logs).groupBy(*keys).agg(
+        _requests().alias("requests"),
+        F.sum("timed").alias("timed"),
+        F.sum("total_ms").alias("total_ms"),
+        F.min("min_ms").alias("min_ms"),
+        F.max("max_ms").alias("max_ms"),
+    )
+
+
+def hour_totals(logs: DataFrame) -> DataFrame:
+    """Totals per hour of the day, status and method."""
+    return totals(logs, "hour", "status", "method")
+
+
+def page_totals(logs: DataFrame) -> DataFrame:
+    """Totals per endpoint and status."""
+    return totals(logs, "endpoint", "status")
+
+
+def _requests(condition: Column | None = None) -> Column:
+    """The number of requests (for which the condition holds), 0 for none."""
+    counted = F.col("requests") if condition is None else F.when(condition, F.col("requests"))
+    return F.coalesce(F.sum(counted), F.lit(0)).cast("bigint")
+
+
+def _average() -> Column:
+    return F.try_divide(F.sum("total_ms"), F.sum("timed"))
+
+
+def _distribution(logs: DataFrame, *keys: str, top: int | None = None) -> DataFrame:
+    """Requests per combination of ``keys``, most frequent first, ties by key."""
+    counted = _as_totals(logs).groupBy(*keys).agg(_requests().alias("count"))
+    ordered = counted.orderBy(F.desc("count"), *keys)
+    return ordered if top is None else ordered.limit(top)
 
 
 def status_distribution(logs: DataFrame) -> DataFrame:
-    return value_counts(logs, "status")
+    return _distribution(logs, "status")
 
 
 def method_distribution(logs: DataFrame) -> DataFrame:
-    return value_counts(logs, "method")
-
+    return _distribution(logs, "method")
 
-def endpoint_totals(logs: DataFrame) -> DataFrame:
-    """(endpoint, count, avg_latency_ms); several analyses start from this table.
 
-    Worth persisting like ``visitors.ip_totals``. Averages are not rounded.
-    """
-    return logs.groupBy("endpoint").agg(
-        F.count(F.lit(1)).alias("count"), F.avg("response_time_ms").alias("avg_latency_ms")
+def _by_endpoint(logs: DataFrame, count: str) -> DataFrame:
+    """(endpoint, count, avg_latency_ms) with averages not rounded."""
+    return _as_totals(logs).groupBy("endpoint").agg(
+        _requests().alias(count), _average().alias("avg_latency_ms")
     )
 
 
 def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
-    counted = endpoint_totals(logs).select("endpoint", "count")
-    return counted.orderBy(F.desc("count"), "endpoint").limit(k)
+    return _distribution(logs, "endpoint", top=k)
 
 
 # ---- errors -----------------------------------------------------------------
@@ -47,31 +104,31 @@ def is_server_error() -> Column:
 def error_counts(logs: DataFrame) -> DataFrame:
     """One row; ``total_errors`` ends below 600, ``errors_5xx`` does not."""
     status = F.col("status")
-    return logs.agg(
-        F.count_if((status >= 400) & (status < 600)).alias("total_errors"),
-        F.count_if(is_client_error()).alias("errors_4xx"),
-        F.count_if(is_server_error()).alias("errors_5xx"),
+    return _as_totals(logs).agg(
+        _requests((status >= 400) & (status < 600)).alias("total_errors"),
+        _requests(is_client_error()).alias("errors_4xx"),
+        _requests(is_server_error()).alias("errors_5xx"),
     )
 
 
 def top_404_pages(logs: DataFrame, k: int = 10) -> DataFrame:
-    return value_counts(logs.where(F.col("status") == 404), "endpoint", top=k)
+    return _distribution(logs.where(F.col("status") == 404), "endpoint", top=k)
 
 
-def pages_5xx(logs: DataFrame, k: int = 10) -> DataFrame:
-    return value_counts(logs.where(is_server_error()), "endpoint", "status", top=k)
+def pages_5xx(logs: DataFrame, k: int | None = None) -> DataFrame:
+    """All pages that answered with a server error, or the ``k`` with the most."""
+    return _distribution(logs.where(is_server_error()), "endpoint", "status", top=k)
 
 
 # ---- latency ----------------------------------------------------------------
 
 
 def latency_summary(logs: DataFrame) -> DataFrame:
-    latency = F.col("response_time_ms")
-    return logs.agg(
-        F.count(latency).alias("count"),
-        F.min(latency).cast("bigint").alias("min"),
-        F.max(latency).cast("bigint").alias("max"),
-        F.round(F.avg(latency), 2).alias("mean"),
+    return _as_totals(logs).agg(
+        F.coalesce(F.sum("timed"), F.lit(0)).alias("count"),
+        F.min("min_ms").alias("min"),
+        F.max("max_ms").alias("max"),
+        F.round(_average(), 2).alias("mean"),
     )
 
 
@@ -81,9 +138,9 @@ def _rounded_latency(table: DataFrame) -> DataFrame:
 
 def slowest_endpoints(logs: DataFrame, min_requests: int = 10, k: int = 10) -> DataFrame:
     """The ``k`` endpoints slowest on average, of those with more than ``min_requests``."""
-    by_endpoint = endpoint_totals(logs).withColumnRenamed("count", "request_count")
     slowest = (
-        by_endpoint.where(F.col("request_count") > min_requests)
+        _by_endpoint(logs, "request_count")
+        .where(F.col("request_count") > min_requests)
         .orderBy(F.desc("avg_latency_ms"), "endpoint")
         .limit(k)
     )
@@ -98,8 +155,7 @@ def slowest_requests(logs: DataFrame, k: int = 10) -> DataFrame:
 
 def slow_endpoints(logs: DataFrame, min_hits: int = 10, min_avg_ms: float = 2000) -> DataFrame:
     """Endpoints with more than ``min_hits`` and an unrounded average above the cut."""
-    by_endpoint = endpoint_totals(logs).withColumnRenamed("count", "hit_count")
-    slow = by_endpoint.where(
+    slow = _by_endpoint(logs, "hit_count").where(
         (F.col("hit_count") > min_hits) & (F.col("avg_latency_ms") > min_avg_ms)
     )
     return _rounded_latency(slow.orderBy(F.desc("avg_latency_ms"), "endpoint"))
@@ -111,25 +167,20 @@ def slow_endpoint_status_latency(
     """Average latency per status of the endpoints ``slow_endpoints`` finds.
 
     The requests are read once: they are added up per endpoint and status, and
-    the endpoint totals that decide come from those sums. Latencies are whole
-    milliseconds, so the sums are exact and both averages equal the direct ones.
+    the endpoint totals that decide come from those sums.
     """
-    by_status = logs.groupBy("endpoint", "status").agg(
-        F.count(F.lit(1)).alias("hits"),
-        F.count("response_time_ms").alias("timed"),
-        F.sum("response_time_ms").alias("total_ms"),
-    )
+    by_status = page_totals(logs)
     endpoint = Window.partitionBy("endpoint")
-    totals = by_status.select(
+    rated = by_status.select(
         "endpoint",
         "status",
         F.try_divide("total_ms", "timed").alias("avg_latency_ms"),
-        F.sum("hits").over(endpoint).alias("endpoint_hits"),
+        F.sum("requests").over(endpoint).alias("endpoint_hits"),
         F.try_divide(F.sum("total_ms").over(endpoint), F.sum("timed").over(endpoint)).alias(
             "endpoint_avg_ms"
         ),
     )
-    slow = totals.where(
+    slow = rated.where(
         F.col("endpoint").isNotNull()
         & (F.col("endpoint_hits") > min_hits)
         & (F.col("endpoint_avg_ms") > min_avg_ms)
@@ -141,20 +192,19 @@ def slow_endpoint_status_latency(
 # ---- hours ------------------------------------------------------------------
 
 
-def _hour() -> Column:
-    return F.hour("parsed_timestamp").cast("bigint").alias("hour")
-
-
 def traffic_by_hour(logs: DataFrame) -> DataFrame:
     """Requests per hour of the day; lines with an impossible time form a null hour."""
-    return logs.groupBy(_hour()).agg(F.count(F.lit(1)).alias("count")).orderBy("hour")
+    return _hourly(logs).orderBy("hour")
+
+
+def _hourly(logs: DataFrame) -> DataFrame:
+    return _as_totals(logs).groupBy("hour").agg(_requests().alias("count"))
 
 
 def _hourly_share(logs: DataFrame) -> DataFrame:
     # The window holds the 24 hours and null, 25 rows however many requests.
-    hourly = logs.groupBy(_hour()).agg(F.count(F.lit(1)).alias("count"))
     total = F.sum("count").over(Window.partitionBy())
-    return hourly.withColumn("percentage", percentage(F.col("count"), total))
+    return _hourly(logs).withColumn("percentage", percentage(F.col("count"), total))
 
 
 def traffic_share(logs: DataFrame) -> DataFrame:
@@ -168,8 +218,7 @@ def peak_hour(logs: DataFrame) -> DataFrame:
 
 
 def latency_by_hour(logs: DataFrame) -> DataFrame:
-    hourly = logs.groupBy(_hour()).agg(
-        F.avg("response_time_ms").alias("avg_latency_ms"),
-        F.count(F.lit(1)).alias("total_requests"),
+    hourly = _as_totals(logs).groupBy("hour").agg(
+        _average().alias("avg_latency_ms"), _requests().alias("total_requests")
     )
     return _rounded_latency(hourly.orderBy(F.desc("avg_latency_ms"), "hour"))

@@ -100,8 +100,9 @@ def funnel(logs: DataFrame, steps: Sequence[str] = FUNNEL_STEPS) -> DataFrame:
 
 
 def abusive_ips(logs: DataFrame, window: str = "1 minute", threshold: int = 50) -> DataFrame:
-    """Addresses with more than ``threshold`` requests in one tumbling window.
+    """Addresses with more than ``threshold`` requests in one tumbling window, at least one.
 
+    ``window_start`` is the instant at which the window begins, ``minute_start`` its clock time.
     Requests without a time are in no window. They are kept from counting
     instead of filtered out, as a filter on raw lines would parse each time twice.
     """
@@ -110,11 +111,12 @@ def abusive_ips(logs: DataFrame, window: str = "1 minute", threshold: int = 50)
     return (
         logs.groupBy("ip", F.window(some_time, window).alias("span"))
         .agg(F.count(time).alias("requests_per_min"))
-        .where(F.col("requests_per_min") > max(threshold, 0))
+        .where((F.col("requests_per_min") > 0) & (F.col("requests_per_min") > threshold))
         .orderBy(F.desc("requests_per_min"), "ip", "span.start")
         .select(
             "ip",
             "requests_per_min",
+            F.col("span.start").alias("window_start"),
             F.date_format("span.start", "HH:mm:ss").alias("minute_start"),
         )
     )

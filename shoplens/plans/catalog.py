@@ -38,6 +38,10 @@ class Tables:
     def customers(self) -> DataFrame:
         return bindings.bind_customers(*self._at)
 
+    @property
+    def located_customers(self) -> DataFrame:
+        return bindings.bind_customers_with_country(*self._at)
+
     @property
     def orders(self) -> DataFrame:
         return bindings.bind_orders(*self._at)
@@ -77,31 +81,33 @@ ANALYSES: dict[str, Callable[[Tables], DataFrame]] = {
     "row_counts": lambda t: profile.row_counts(
         {"customers": t.customers, "products": t.products, "orders": t.orders}
     ),
-    "null_counts_customers": lambda t: profile.null_counts(t.customers),
+    "null_counts_customers": lambda t: profile.null_counts(t.located_customers),
     "null_counts_orders": lambda t: profile.null_counts(t.orders),
+    "duplicate_keys_customers": lambda t: profile.duplicate_keys(t.customers, "customerNumber"),
+    "duplicate_order_numbers": lambda t: profile.duplicate_keys(t.orders, "orderNumber"),
     "duplicate_keys_orders": lambda t: profile.duplicate_keys(t.orders, "customerNumber"),
     "distinct_status": lambda t: profile.distinct_values(t.orders, "status"),
     "distinct_payment": lambda t: profile.distinct_values(t.orders, "paymentMethod"),
     # shop
     "customers_by_segment": lambda t: shop.customers_by_segment(t.customers),
-    "top_countries": lambda t: shop.top_countries(t.customers),
+    "top_countries": lambda t: shop.top_countries(t.located_customers),
     "orders_by_status": lambda t: shop.orders_by_status(t.orders),
     "orders_by_payment": lambda t: shop.orders_by_payment(t.orders),
     "products_by_category": lambda t: shop.products_by_category(t.products),
     "order_amount_stats": lambda t: shop.order_amount_stats(t.orders),
     "credit_by_segment": lambda t: shop.credit_by_segment(t.customers),
     "product_price_stats": lambda t: shop.product_price_stats(t.products),
-    "top_credit_country": lambda t: shop.top_credit_country(t.customers),
+    "top_credit_country": lambda t: shop.top_credit_country(t.located_customers),
     "top_order_status": lambda t: shop.top_order_status(t.orders),
     "top_stock_category": lambda t: shop.top_stock_category(t.products),
     "segment_share": lambda t: shop.segment_share(t.customers, "BUILDING"),
     "ecommerce_summary": lambda t: reports.ecommerce_summary(t.customers, t.products, t.orders),
     # customers and people
     "enterprise_upper": lambda t: customer_ops.segment_customers(
-        t.customers, "BUILDING", columns=("customerName", "country")
+        t.located_customers, "BUILDING", columns=("customerName", "country")
     ),
     "customers_in_country": lambda t: customer_ops.customers_in_country(
-        t.customers, "NATION_1"
+        t.located_customers, "NATION_1"
     ).select("customerNumber", "customerName", "country"),
     "people_over_30": lambda t: people_ops.people_over(t.people, 30),
     "people_avg_salary": lambda t: people_ops.average_salary_by_city(t.people).withColumn(
@@ -176,4 +182,5 @@ def _query(analysis: Callable[[Tables], DataFrame]) -> Query:
 
 
 def queries() -> dict[str, Query]:
+    """All queries by name. Building one sets the session's time zone to UTC, for good."""
     return {name: _query(analysis) for name, analysis in ANALYSES.items()}

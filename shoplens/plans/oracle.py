@@ -11,7 +11,7 @@ _VIEWS = {
 SELECT 10000 + c_custkey AS "customerNumber", c_name AS "customerName",
        CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE 'S' || CAST(c_custkey % 50 AS VARCHAR) END AS state,
        n_name AS country, c_acctbal AS "creditLimit", c_mktsegment AS "customerSegment"
-FROM customer JOIN nation ON c_nationkey = n_nationkey
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
     "ec_orders": r"""
 SELECT 200000 + o_orderkey AS "orderNumber",
@@ -53,7 +53,7 @@ WHERE ip <> ''
 """,
     "people": r"""
 SELECT c_name AS name, 18 + c_custkey % 60 AS age, n_name AS city, c_acctbal AS salary
-FROM customer JOIN nation ON c_nationkey = n_nationkey
+FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
 }
 
@@ -79,6 +79,14 @@ FROM ec_orders
     "duplicate_keys_orders": r"""
 SELECT count(*) AS total, count(DISTINCT "customerNumber") AS distinct_ids,
        count(*) - count(DISTINCT "customerNumber") AS duplicates FROM ec_orders
+""",
+    "duplicate_keys_customers": r"""
+SELECT count(*) AS total, count(DISTINCT "customerNumber") AS distinct_ids,
+       count(*) - count(DISTINCT "customerNumber") AS duplicates FROM ec_customers
+""",
+    "duplicate_order_numbers": r"""
+SELECT count(*) AS total, count(DISTINCT "orderNumber") AS distinct_ids,
+       count(*) - count(DISTINCT "orderNumber") AS duplicates FROM ec_orders
 """,
     "customers_by_segment": r"""
 SELECT "customerSegment", count(*) AS "count" FROM ec_customers GROUP BY 1
@@ -170,7 +178,7 @@ SELECT "orderNumber", "totalAmount", "totalAmount" > 200000 AS "isLargeOrder" FR
 SELECT "orderNumber", status FROM ec_orders WHERE status IN ('Processing', 'Shipped')
 """,
     "order_code": r"""
-SELECT "orderNumber", 'ORDER-' || lpad(CAST("orderNumber" AS VARCHAR), 5, '0') AS "orderCode" FROM ec_orders
+SELECT "orderNumber", 'ORDER-' || repeat('0', greatest(0, 5 - length(CAST("orderNumber" AS VARCHAR)))) || "orderNumber" AS "orderCode" FROM ec_orders
 """,
     "top_orders": r"""
 SELECT "orderNumber", "totalAmount" FROM ec_orders ORDER BY "totalAmount" DESC, "orderNumber" LIMIT 10
@@ -200,7 +208,7 @@ SELECT count(*) FILTER (WHERE status >= 400 AND status < 600) AS total_errors,
 SELECT endpoint, count(*) AS "count" FROM web_logs WHERE status = 404 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10
 """,
     "pages_5xx": r"""
-SELECT endpoint, CAST(status AS BIGINT) AS status, count(*) AS "count" FROM web_logs WHERE status >= 500 GROUP BY 1, 2 ORDER BY 3 DESC, 1, 2 LIMIT 10
+SELECT endpoint, CAST(status AS BIGINT) AS status, count(*) AS "count" FROM web_logs WHERE status >= 500 GROUP BY 1, 2
 """,
     "latency_summary": r"""
 SELECT count(response_time_ms) AS "count", CAST(min(response_time_ms) AS BIGINT) AS "min",
@@ -262,7 +270,8 @@ FROM (SELECT CAST(hour(parsed_timestamp) AS BIGINT) AS hour, count(*) AS "count"
 ORDER BY "count" DESC, hour LIMIT 1
 """,
     "abusive_ips_per_minute": r"""
-SELECT ip, count(*) AS requests_per_min, strftime(date_trunc('minute', parsed_timestamp), '%H:%M:%S') AS minute_start
+SELECT ip, count(*) AS requests_per_min, CAST(date_trunc('minute', parsed_timestamp) AS TIMESTAMP) AS window_start,
+       strftime(date_trunc('minute', parsed_timestamp), '%H:%M:%S') AS minute_start
 FROM web_logs GROUP BY ip, date_trunc('minute', parsed_timestamp) HAVING count(*) > 1
 """,
     "high_404_ips": r"""

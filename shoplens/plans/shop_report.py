@@ -9,7 +9,7 @@ from shoplens.operators import customers as customer_ops
 from shoplens.operators import orders as order_ops
 from shoplens.operators import profile, reports, shop
 from shoplens.sinks import write_dataset, write_report
-from shoplens.sources import load_table
+from shoplens.sources import load_table, table_quality
 
 
 def shop_figures(
@@ -70,9 +70,10 @@ def run_shop_report(
     """Write every analysis below ``output`` and return their names.
 
     The CSV tables are copied to Parquet first: the analyses then read their
-    own columns only, where each would parse whole CSV rows again.
+    own columns only, where each would parse whole CSV rows again. ``output`` must therefore be
+    storage that all machines share. ``quality_<table>`` counts what did not fit the schemas.
     """
-    tables = {}
+    tables, quality = {}, {}
     for name, path, schema in [
         ("customers", customers_path, schemas.CUSTOMERS),
         ("products", products_path, schemas.PRODUCTS),
@@ -81,8 +82,9 @@ def run_shop_report(
         copy = f"{output}/{name}.parquet"
         write_dataset(load_table(spark, path, schema, sep), copy)
         tables[name] = spark.read.schema(schema).parquet(copy)
+        quality[f"quality_{name}"] = table_quality(spark, path, schema, sep)
 
-    figures = shop_figures(**tables)
+    figures = shop_figures(**tables) | quality
     for name, figure in figures.items():
         write_report(figure, f"{output}/{name}")
     findings = shop_findings(**tables)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -12,38 +14,59 @@ from shoplens.sinks import write_dataset, write_report
 from shoplens.sources import read_lines
 
 
-def log_figures(logs: DataFrame) -> dict[str, DataFrame]:
+@dataclass
+class KeptTotals:
+    """Totals of the requests from which most analyses follow."""
+
+    by_hour: DataFrame
+    by_page: DataFrame
+    by_ip: DataFrame
+
+    @classmethod
+    def of(cls, logs: DataFrame) -> KeptTotals:
+        return cls(traffic.hour_totals(logs), traffic.page_totals(logs), visitors.ip_totals(logs))
+
+    def persist(self) -> None:
+        for table in (self.by_hour, self.by_page, self.by_ip):
+            table.persist(StorageLevel.MEMORY_AND_DISK)
+
+    def unpersist(self) -> None:
+        for table in (self.by_hour, self.by_page, self.by_ip):
+            table.unpersist()
+
+
+def log_figures(logs: DataFrame, kept: KeptTotals) -> dict[str, DataFrame]:
     """The analyses of a fixed number of rows, by name: metrics, top lists, hours."""
     return {
-        "top_endpoints": traffic.top_endpoints(logs),
-        "error_counts": traffic.error_counts(logs),
-        "top_404_pages": traffic.top_404_pages(logs),
-        "pages_5xx": traffic.pages_5xx(logs),
-        "latency_summary": traffic.latency_summary(logs),
-        "slowest_endpoints": traffic.slowest_endpoints(logs),
+        "top_endpoints": traffic.top_endpoints(kept.by_page),
+        "error_counts": traffic.error_counts(kept.by_hour),
+        "top_404_pages": traffic.top_404_pages(kept.by_page),
+        "latency_summary": traffic.latency_summary(kept.by_hour),
+        "slowest_endpoints": traffic.slowest_endpoints(kept.by_page),
         "slowest_requests": traffic.slowest_requests(logs),
-        "traffic_by_hour": traffic.traffic_by_hour(logs),
-        "traffic_share_by_hour": traffic.traffic_share(logs),
-        "peak_hour": traffic.peak_hour(logs),
-        "latency_by_hour": traffic.latency_by_hour(logs),
+        "traffic_by_hour": traffic.traffic_by_hour(kept.by_hour),
+        "traffic_share_by_hour": traffic.traffic_share(kept.by_hour),
+        "peak_hour": traffic.peak_hour(kept.by_hour),
+        "latency_by_hour": traffic.latency_by_hour(kept.by_hour),
         "top_ips": visitors.top_ips(logs),
         "requests_per_ip_stats": visitors.requests_per_ip_stats(logs),
         "bounce_rate": visitors.bounce_rate(logs),
         "funnel": visitors.funnel(logs),
-        "log_summary": reports.log_summary(logs),
+        "log_summary": reports.log_summary_of_totals(kept.by_hour, kept.by_page, kept.by_ip),
     }
 
 
-def log_findings(logs: DataFrame) -> dict[str, DataFrame]:
+def log_findings(logs: DataFrame, kept: KeptTotals) -> dict[str, DataFrame]:
     """The analyses with a row per key found in the logs, by name."""
     return {
-        "status_distribution": traffic.status_distribution(logs),
-        "method_distribution": traffic.method_distribution(logs),
+        "status_distribution": traffic.status_distribution(kept.by_hour),
+        "method_distribution": traffic.method_distribution(kept.by_hour),
+        "pages_5xx": traffic.pages_5xx(kept.by_page),
         "bot_ips": visitors.bot_ips(logs),
         "abusive_ips_per_minute": visitors.abusive_ips(logs),
         "high_404_ips": visitors.high_404_ips(logs),
-        "slow_endpoints": traffic.slow_endpoints(logs),
-        "slow_endpoint_status_latency": traffic.slow_endpoint_status_latency(logs),
+        "slow_endpoints": traffic.slow_endpoints(kept.by_page),
+        "slow_endpoint_status_latency": traffic.slow_endpoint_status_latency(kept.by_page),
     }
 
 
@@ -68,28 +91,27 @@ def save_parsed(lines: DataFrame, path: str) -> dict[str, int]:
 def run_weblog_report(spark: SparkSession, lines_path: str, output: str) -> list[str]:
     """Write the parsed requests and every analysis below ``output``.
 
-    The analyses read the Parquet dataset, each its own columns; reading the
-    text instead would match every line against the pattern once per analysis.
-    The totals per address and per endpoint are kept for the ones that share them.
+    ``output`` must be storage that all machines share: the requests are written there and
+    read again. They are read six times, each time some columns: for totals per hour, page and
+    address, which are kept and from which most analyses follow (those of addresses find the
+    kept table by its plan), and for the slowest requests, the funnel and the abusive addresses.
     """
     dataset = f"{output}/processed_logs"
     quality = save_parsed(read_lines(spark, lines_path), dataset)
     logs = spark.read.schema(schemas.REQUESTS).parquet(dataset)
 
-    shared = [visitors.ip_totals(logs), traffic.endpoint_totals(logs)]
-    for totals in shared:
-        totals.persist(StorageLevel.MEMORY_AND_DISK)
-    figures = log_figures(logs)
+    kept = KeptTotals.of(logs)
+    kept.persist()
+    figures = log_figures(logs, kept)
     figures["weblog_quality"] = spark.createDataFrame(
         [tuple(quality.values())], "total BIGINT, valid BIGINT, invalid BIGINT"
     )
-    findings = log_findings(logs)
+    findings = log_findings(logs, kept)
     try:
         for name, figure in figures.items():
             write_report(figure, f"{output}/{name}")
         for name, finding in findings.items():
             write_dataset(finding, f"{output}/{name}", format="csv")
     finally:
-        for totals in shared:
-            totals.unpersist()
+        kept.unpersist()
     return [*figures, *findings]

@@ -1,5 +1,5 @@
 """Readers, and the projections that derive shop tables and log lines."""
 
-from shoplens.sources.readers import load_table, read_lines, read_table
+from shoplens.sources.readers import load_table, read_lines, read_table, table_quality
 
-__all__ = ["load_table", "read_lines", "read_table"]
+__all__ = ["load_table", "read_lines", "read_table", "table_quality"]

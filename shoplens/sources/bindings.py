@@ -34,21 +34,38 @@ def read_driver_table(spark: SparkSession, directory: str, name: str) -> DataFra
 
 
 def _customers_with_nation(spark: SparkSession, directory: str) -> DataFrame:
-    # No broadcast hint: Spark broadcasts nation if its size allows it.
+    # No broadcast hint: Spark broadcasts nation if its size allows it. A customer whose nation
+    # is missing stays.
     customer = read_driver_table(spark, directory, "customer")
     nation = read_driver_table(spark, directory, "nation")
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"])
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left")
 
 
-def bind_customers(spark: SparkSession, directory: str) -> DataFrame:
+def _customer_columns() -> dict[str, Column]:
     key = F.col("c_custkey")
+    return {
+        "customerNumber": key + 10000,
+        "customerName": F.col("c_name"),
+        "state": F.when(key % 10 != 0, F.concat(F.lit("S"), key % 50)),
+        "country": F.col("n_name"),
+        "creditLimit": F.col("c_acctbal"),
+        "customerSegment": F.col("c_mktsegment"),
+    }
+
+
+def bind_customers(spark: SparkSession, directory: str) -> DataFrame:
+    """Customers without their country, so without a join."""
+    columns = _customer_columns()
+    del columns["country"]
+    return read_driver_table(spark, directory, "customer").select(
+        *[column.alias(name) for name, column in columns.items()]
+    )
+
+
+def bind_customers_with_country(spark: SparkSession, directory: str) -> DataFrame:
+    """All customers; the country is null where there is no such nation."""
     return _customers_with_nation(spark, directory).select(
-        (key + 10000).alias("customerNumber"),
-        F.col("c_name").alias("customerName"),
-        F.when(key % 10 != 0, F.concat(F.lit("S"), key % 50)).alias("state"),
-        F.col("n_name").alias("country"),
-        F.col("c_acctbal").alias("creditLimit"),
-        F.col("c_mktsegment").alias("customerSegment"),
+        *[column.alias(name) for name, column in _customer_columns().items()]
     )
 
 

@@ -6,7 +6,8 @@ from collections.abc import Mapping, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_table(
@@ -30,6 +31,41 @@ def read_table(
     )
 
 
+def table_quality(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    schema: StructType,
+    sep: str = ",",
+    header: bool = True,
+) -> DataFrame:
+    """One row: ``rows``, ``damaged_rows`` and, per column, values that ``read_table`` loses.
+
+    Rows with too few or too many fields are damaged; their fields count, too. The files are
+    read once, as text, and each value is tried as its column's type.
+    """
+    text = StructType([StructField(field.name, StringType()) for field in schema])
+    damage = "_damaged"
+    raw = (
+        spark.read.schema(StructType([*text, StructField(damage, StringType())]))
+        .option("header", header)
+        .option("sep", sep)
+        .option("columnNameOfCorruptRecord", damage)
+        .csv(path if isinstance(path, str) else list(path))
+    )
+    lost = [
+        F.count_if(
+            F.col(f"`{field.name}`").isNotNull()
+            & F.col(f"`{field.name}`").try_cast(field.dataType).isNull()
+        ).alias(field.name)
+        for field in schema
+    ]
+    return raw.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col(damage).isNotNull()).alias("damaged_rows"),
+        *lost,
+    )
+
+
 def load_table(
     spark: SparkSession,
     path: str | Sequence[str],

@@ -5,15 +5,16 @@ import os
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from conftest import rows
+from conftest import plan, rows
 from fixtures import customers, lines, log_line, orders
 from shoplens import __main__ as command
 from shoplens import schemas
 from shoplens.operators.weblogs import parse_weblogs, weblog_quality
 from shoplens.plans import weblog_report
 from shoplens.sinks import write_dataset, write_report
-from shoplens.sources import load_table, read_lines, read_table
+from shoplens.sources import load_table, read_lines, read_table, table_quality
 
 PRODUCT_LINES = [
     "P_100,Managed function,Services,5983,392.18,510.69",
@@ -143,6 +144,22 @@ def read_report(spark, path):
     return rows(spark.read.option("header", True).csv(path))
 
 
+def test_table_quality_counts_what_is_lost(spark, tmp_path):
+    schema = StructType.fromDDL("number INT, day DATE, amount DOUBLE")
+    path = write(
+        tmp_path / "t.csv",
+        "a,b,c",
+        "1,2024-01-05,2.5",
+        "x,2024-01-06,",
+        "3,2024-13-01,1",
+        "4,2024-01-07",
+    )
+    found = table_quality(spark, path, schema)
+    assert found.columns == ["rows", "damaged_rows", "number", "day", "amount"]
+    assert plan(found).count("FileScan") == 1
+    assert rows(found) == [(4, 1, 1, 1, 0)]
+
+
 def test_weblog_report(spark, tmp_path):
     log = write(tmp_path / "web.log", *[log_line("a", "/home")] * 3, log_line("b", "/cart"), "?")
     output = str(tmp_path / "out")

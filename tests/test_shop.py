@@ -11,6 +11,7 @@ from shoplens.operators import customers as customer_ops
 from shoplens.operators import orders as order_ops
 from shoplens.operators import people as people_ops
 from shoplens.operators import profile, reports, shop
+from shoplens.sources import bindings
 
 D = datetime.date
 
@@ -248,12 +249,38 @@ def test_order_columns(spark):
     assert [f for (f,) in rows(flags)] == [True, False, False, True, False, None]
 
 
-def test_order_code_pads_and_cuts(spark):
-    table = spark.createDataFrame([(7,), (200001,)], "orderNumber INT")
+def test_order_code_pads_and_never_cuts(spark):
+    table = spark.createDataFrame([(7,), (200001,), (None,)], "orderNumber INT")
     codes = order_ops.order_code(table).select("orderCode")
-    assert rows(codes) == [("ORDER-00007",), ("ORDER-20000",)]
+    assert rows(codes) == [("ORDER-00007",), ("ORDER-200001",), (None,)]
     wide = order_ops.order_code(table, width=8).select("orderCode")
-    assert rows(wide) == [("ORDER-00000007",), ("ORDER-00200001",)]
+    assert rows(wide) == [("ORDER-00000007",), ("ORDER-00200001",), (None,)]
+    many = spark.range(200000, 215000).withColumnRenamed("id", "orderNumber")
+    assert order_ops.order_code(many).select("orderCode").distinct().count() == 15000
+
+
+def test_money_adds_up_alike_from_any_partitions(spark):
+    amount = (F.col("id") * 7919 % 1000003 * 99.99 + 0.01).alias("amount")
+    found = set()
+    for n in (3, 7, 16, 64):
+        table = spark.range(0, 2_000_000, 1, n).select(F.lit("a").alias("key"), amount)
+        stats = profile.numeric_stats(table, ["amount"]).select("amount_sum", "amount_avg")
+        found.add(rows(stats)[0] + rows(profile.top_groups(table, "key", "amount", "total"))[0])
+    assert len(found) == 1
+
+
+def test_customers_of_unknown_nations_stay(spark, tmp_path):
+    customer = [(1, "a", 5, 1.0, "X"), (2, "b", 77, 2.0, "X"), (3, "c", None, 3.0, "Y")]
+    spark.createDataFrame(customer, bindings.TABLE_SCHEMAS["customer"]).write.parquet(
+        str(tmp_path / "customer.parquet")
+    )
+    spark.createDataFrame([(5, "N", 1)], bindings.TABLE_SCHEMAS["nation"]).write.parquet(
+        str(tmp_path / "nation.parquet")
+    )
+    located = bindings.bind_customers_with_country(spark, str(tmp_path))
+    assert sorted(r.country or "" for r in located.collect()) == ["", "", "N"]
+    assert bindings.bind_customers(spark, str(tmp_path)).count() == 3
+    assert bindings.bind_people(spark, str(tmp_path)).count() == 3
 
 
 def test_top_orders(spark):

@@ -1,9 +1,13 @@
 import datetime
 
+import pytest
+
 from conftest import plan, rows
 from fixtures import lines, log_line
+from shoplens import schemas
 from shoplens.operators import reports, traffic, visitors
 from shoplens.operators.weblogs import parse_weblogs
+from shoplens.plans import weblog_report
 from pyspark.sql import functions as F
 
 
@@ -39,6 +43,66 @@ def test_errors(spark):
     assert rows(traffic.error_counts(logs)) == [(7, 5, 3)]
     assert rows(traffic.top_404_pages(logs)) == [("/x", 2), ("/home", 1)]
     assert rows(traffic.pages_5xx(logs, 2)) == [("/home", 500, 1), ("/home", 599, 1)]
+    assert traffic.pages_5xx(logs).count() == 3
+    many = requests(spark, *[req(status=500, endpoint=f"/{i}") for i in range(12)])
+    assert traffic.pages_5xx(many).count() == 12
+
+
+@pytest.mark.parametrize("kept", [traffic.hour_totals, traffic.page_totals])
+def test_totals_give_the_same_as_requests(spark, kept):
+    logs = requests(
+        spark,
+        *[req(f"{i % 3}", f"/{i % 4}", status=(200, 404, 500, 503)[i % 4], ms=i) for i in range(40)],
+        *[req("9", "/slow", ms=5000, time="31/Feb/2025:01:00:00 +0000")] * 11,
+        req("8", "/slow", ms=99999999999),
+    )
+    by = {
+        traffic.hour_totals: [
+            traffic.status_distribution,
+            traffic.method_distribution,
+            traffic.error_counts,
+            traffic.latency_summary,
+            traffic.traffic_by_hour,
+            traffic.traffic_share,
+            traffic.peak_hour,
+            traffic.latency_by_hour,
+        ],
+        traffic.page_totals: [
+            traffic.top_endpoints,
+            traffic.top_404_pages,
+            traffic.pages_5xx,
+            traffic.slowest_endpoints,
+            traffic.slow_endpoints,
+            traffic.slow_endpoint_status_latency,
+        ],
+    }
+    for chosen in (logs, logs.limit(0)):
+        totals = kept(chosen)
+        for analysis in by[kept]:
+            assert rows(analysis(totals)) == rows(analysis(chosen)), analysis
+            assert analysis(totals).dtypes == analysis(chosen).dtypes
+
+
+def test_summary_of_totals(spark):
+    logs = requests(spark, req("a", status=404), req("b", status=500), req("b", "/x"))
+    for chosen in (logs, logs.limit(0)):
+        found = reports.log_summary_of_totals(
+            traffic.hour_totals(chosen), traffic.page_totals(chosen), visitors.ip_totals(chosen)
+        )
+        assert rows(found) == rows(reports.log_summary(chosen))
+
+
+def test_report_reads_the_requests_six_times(spark, tmp_path):
+    path = str(tmp_path / "requests")
+    requests(spark, req()).write.parquet(path)
+    logs = spark.read.schema(schemas.REQUESTS).parquet(path)
+    kept = weblog_report.KeptTotals.of(logs)
+    kept.persist()
+    tables = weblog_report.log_figures(logs, kept) | weblog_report.log_findings(logs, kept)
+    texts = [plan(table) for table in tables.values()]
+    passes = sum(text.count("FileScan") for text in texts if "InMemoryTableScan" not in text)
+    kept.unpersist()
+    assert passes + 3 <= 6
 
 
 def test_latency(spark):
@@ -166,11 +230,6 @@ def test_kept_totals_serve_every_analysis(spark):
             visitors.bounce_rate,
             visitors.high_404_ips,
         ],
-        traffic.endpoint_totals: [
-            traffic.top_endpoints,
-            traffic.slowest_endpoints,
-            traffic.slow_endpoints,
-        ],
     }
     for shared, users in analyses.items():
         assert not any("InMemoryTableScan" in plan(analysis(logs)) for analysis in users)
@@ -208,6 +267,10 @@ def test_funnel_does_not_copy_rows(spark):
     assert text.count("Exchange") == 2
 
 
+def minute(number):
+    return datetime.datetime(2025, 11, 5, 10, number)
+
+
 def test_abusive_ips_in_tumbling_minutes(spark):
     logs = requests(
         spark,
@@ -216,11 +279,22 @@ def test_abusive_ips_in_tumbling_minutes(spark):
         *[at("10:01:30", "b")] * 2,
     )
     assert rows(visitors.abusive_ips(logs, threshold=1)) == [
-        ("a", 3, "10:01:00"),
-        ("a", 2, "10:00:00"),
-        ("b", 2, "10:01:00"),
+        ("a", 3, minute(1), "10:01:00"),
+        ("a", 2, minute(0), "10:00:00"),
+        ("b", 2, minute(1), "10:01:00"),
     ]
-    assert rows(visitors.abusive_ips(logs, "2 minutes", 4)) == [("a", 5, "10:00:00")]
+    assert rows(visitors.abusive_ips(logs, "2 minutes", 4)) == [("a", 5, minute(0), "10:00:00")]
+
+
+def test_the_same_minute_of_two_days(spark):
+    logs = requests(
+        spark,
+        *[req("a", time="05/Nov/2025:10:00:01 +0000")] * 2,
+        *[req("a", time="06/Nov/2025:10:00:01 +0000")] * 2,
+    )
+    found = rows(visitors.abusive_ips(logs, threshold=1))
+    assert [row[2].day for row in found] == [5, 6]
+    assert len({row[3] for row in found}) == 1
 
 
 def test_requests_without_a_time_are_in_no_window(spark):
@@ -230,8 +304,10 @@ def test_requests_without_a_time_are_in_no_window(spark):
         *[req("a", time="01/Jan/1970:00:00:10 +0000")] * 2,
         *[req("b", time="31/Feb/2025:01:00:00 +0000")],
     )
-    assert rows(visitors.abusive_ips(logs, threshold=0)) == [("a", 2, "00:00:00")]
-    assert rows(visitors.abusive_ips(logs, threshold=-1)) == [("a", 2, "00:00:00")]
+    counted = [("a", 2, "00:00:00")]
+    for threshold in (0, -1):
+        found = visitors.abusive_ips(logs, threshold=threshold).drop("window_start")
+        assert rows(found) == counted
 
 
 def test_each_time_is_parsed_once(spark, tmp_path):
