@@ -377,3 +377,35 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         .select(docs.columns)
         .unionByName(once.select(docs.columns))
     )
+
+
+#: The same over all pairs that share a shingle, for engines without Spark.
+SQL = rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < {SHINGLE}
+    THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - {SHINGLE - 2}),
+      lambda i: array_to_string(w[i : i + {SHINGLE - 1}], ' '))) END AS s
+  FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS item FROM sets),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM items a JOIN items b USING (item) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+  HAVING 100 * count(*) >= {PERCENT} * (any_value(a.n + b.n) - count(*))
+),
+reach AS (
+  SELECT doc_id, doc_id AS other FROM sets
+  UNION
+  SELECT reach.doc_id, b FROM reach JOIN links ON other = a
+)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, min(other) AS component_id,
+  doc_id = min(other) AS kept
+FROM sets JOIN reach USING (doc_id) GROUP BY doc_id, s
+"""

@@ -257,3 +257,97 @@ def keep_good(
     found = settle(limits(sketch(docs.select(needed.alias("m")).select("m.*"))))
     rows = docs.select(F.struct("*").alias("row"), needed.alias("m")).select("row", "m.*")
     return judge(rows, found).filter("kept").select("row.*")
+
+
+def _sql() -> str:
+    values = " UNION ALL ".join(
+        f"SELECT doc_id, lang, source, base_failed, '{name}' AS measure,"
+        f" {over} * {factor} // greatest({under}, 1) AS value, {least} AS least, {low} AS low"
+        " FROM counted"
+        for name, (over, under, factor, least, low) in MEASURES.items()
+    )
+    to_here = "ORDER BY value ROWS UNBOUNDED PRECEDING"
+
+    def level(name: str, keys: str) -> str:
+        part = f"{keys}measure"
+        return f"""
+{name} AS (
+  SELECT {part}, size, min(value) FILTER (WHERE 4 * here >= size) AS q1,
+    min(value) FILTER (WHERE 4 * here >= 3 * size) AS q3
+  FROM (
+    SELECT {part}, value, sum(n) OVER (PARTITION BY {part} {to_here}) AS here,
+      sum(n) OVER (PARTITION BY {part}) AS size
+    FROM (SELECT {part}, value, count(*) AS n FROM sketch GROUP BY ALL)
+  ) GROUP BY ALL
+)"""
+
+    return rf"""
+WITH words AS (
+  SELECT doc_id, lang, source, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, p, array_to_string(w[p : p + {WINDOW - 1}], ' ') AS five
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - {WINDOW - 2})) AS p FROM words)
+),
+repeated AS (
+  SELECT doc_id, count(DISTINCT q) AS n_repeat_words
+  FROM (
+    SELECT doc_id, unnest(range(p, p + {WINDOW})) AS q
+    FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, five) AS often FROM windows)
+    WHERE often > 1
+  ) GROUP BY doc_id
+),
+lines AS (
+  SELECT doc_id, list_filter(string_split(text, chr(10)),
+    lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM words
+),
+counted AS (
+  SELECT *, n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEATED_PERCENT} * n_words
+    AS base_failed
+  FROM (
+    SELECT doc_id, lang, source, len(w) AS n_words,
+      coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS word_chars,
+      length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS n_symbols,
+      len(l) AS n_lines, len(l) - len(list_distinct(l)) AS n_dup_lines,
+      coalesce(n_repeat_words, 0) AS n_repeat_words,
+      len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_echoes
+    FROM words JOIN lines USING (doc_id) LEFT JOIN repeated USING (doc_id)
+  )
+),
+measured AS ({values}),
+sketch AS (
+  SELECT lang, source, measure,
+    value - value % CAST(power(2, greatest(length(bin(value)) - {DIGITS}, 0)) AS BIGINT) AS value
+  FROM measured WHERE NOT base_failed
+),
+{level("own", "lang, source, ")},
+{level("of_lang", "lang, ")},
+{level("of_all", "")},
+limits AS (
+  SELECT own.lang, own.source, measure,
+    CASE WHEN own.size >= {MIN_GROUP} THEN own.q1 WHEN of_lang.size >= {MIN_GROUP}
+      THEN of_lang.q1 ELSE of_all.q1 END AS q1,
+    CASE WHEN own.size >= {MIN_GROUP} THEN own.q3 WHEN of_lang.size >= {MIN_GROUP}
+      THEN of_lang.q3 ELSE of_all.q3 END AS q3
+  FROM own JOIN of_lang USING (measure) JOIN of_all USING (measure)
+  WHERE own.lang IS NOT DISTINCT FROM of_lang.lang
+),
+outside AS (
+  SELECT DISTINCT doc_id FROM measured m JOIN limits i USING (measure)
+  WHERE m.lang IS NOT DISTINCT FROM i.lang AND m.source IS NOT DISTINCT FROM i.source
+    AND (value > q3 + {REACH} * greatest(q3 - q1, least)
+      OR low AND value < q1 - {REACH} * greatest(q3 - q1, least))
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND outside.doc_id IS NULL AS kept
+FROM counted LEFT JOIN outside USING (doc_id)
+"""
+
+
+#: The same for engines without Spark, for tables whose ids do not repeat.
+SQL = _sql()

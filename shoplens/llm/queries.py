@@ -97,5 +97,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_quality_limits": quality.SQL,
         "op2_spaced_seeds": decontaminate.SQL,
+        "op3_super_minhash": near_duplicates.SQL,
+        "op7_warc_bundles": warc_bundles.SQL,
     }

@@ -314,3 +314,20 @@ def round_trip(pages: DataFrame) -> DataFrame:
     return records.select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+#: What ``round_trip`` must read back, for engines without Spark.
+SQL = f"""
+WITH payloads AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest
+  FROM pages
+),
+latest AS (
+  SELECT digest, max(page_id) AS latest FROM payloads WHERE n >= {MIN_SHARED} GROUP BY digest
+)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id < latest AND n >= {MIN_SHARED} THEN 'revisit' ELSE 'response' END
+    AS record_type,
+  CASE WHEN page_id < latest AND n >= {MIN_SHARED} THEN latest END AS refers_to
+FROM payloads LEFT JOIN latest USING (digest)
+"""
