@@ -37,7 +37,7 @@ def base(text):
 
 TEXTS = [
     (100, "é mail a.b%c@ex-1.co.uk. or x@y or a@b@c.de @x.y 1.2.3.4.5.6 256.1.1.1 001.02.3.255"),
-    (101, "card 4111 1111 1111 1111, 4111-1111-1111-1112 ü 4111111111111111 " + "7" * 30),
+    (101, "card 4111 1111 1111 1111, 4111-1111-1111-1112 ü 4111111111111111 é " + "7" * 30),
     (102, "call +1 (414) 555-1791 or +49 30 901820 and +1-2 +5()5. 0.0.0.0000 0.0.0.1000"),
     (103, "1" * 5000 + " " + "a." * 5000 + "@" + "b." * 5000),
     (104, "@" * 50 + "a@b.c" * 20),
