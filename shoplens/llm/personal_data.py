@@ -103,18 +103,25 @@ def base_spans(text: bytes) -> list[Span]:
     return found
 
 
+def stands_alone(text: bytes, match: re.Match) -> bool:
+    """Whether no letter or figure touches a match, as it does inside keys and hashes."""
+    start, end = match.span()
+    return not (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum())
+
+
 def proposals(text: bytes) -> list[Span]:
     """Spans that could be personal data; those of different families may overlap."""
     found = []
     if AT.search(text):
         found += [("email_like", *m.span()) for m in ADDRESS.finditer(text)]
-    found += [("ip_like", *m.span()) for m in NUMBERS.finditer(text)]
+    found += [("ip_like", *m.span()) for m in NUMBERS.finditer(text) if stands_alone(text, m)]
     for match in FIGURES.finditer(text):
-        digits = len(match[0].translate(None, NOT_FIGURES))
-        if 12 <= digits <= 20:
-            found.append(("card_like", *match.span()))
-        if 7 <= digits <= 16:
-            found.append(("phone_like", *match.span()))
+        if stands_alone(text, match):
+            digits = len(match[0].translate(None, NOT_FIGURES))
+            if 12 <= digits <= 20:
+                found.append(("card_like", *match.span()))
+            if 7 <= digits <= 16:
+                found.append(("phone_like", *match.span()))
     return found
 
 
@@ -144,8 +151,8 @@ def features(text: bytes, span: Span) -> list[float]:
             max(numbers),
             luhn(digits),
             bool(HINTS[family].search(before)),
-            before[-1:].isalnum(),
-            after.isalnum(),
+            before[-1:].isspace(),
+            after in b".,;:!?",
         )
     ]
 
