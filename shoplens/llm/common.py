@@ -68,7 +68,7 @@ def small_side(frame: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
 
     Counts it, so it should be settled or read from a table.
     """
-    return F.broadcast(frame) if frame.limit(limit + 1).count() <= limit else frame
+    return F.broadcast(frame) if frame.count() <= limit else frame
 
 
 def text_bytes(text: str) -> Column:

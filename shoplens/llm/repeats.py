@@ -1,6 +1,6 @@
 """Repeated passages: every byte that lies in a string of 200 bytes found elsewhere, too.
 
-Each window of 200 bytes is represented by the least of its hashed 32-byte grams, its anchor, so
+Each window of 200 bytes is represented by the least of its hashed 64-byte grams, its anchor, so
 equal windows have equal anchors. The consecutive windows of an anchor's occurrence make up a
 segment. Anchors that occur once are done; where all segments of an anchor are equal, all their
 windows are repeated. Only the different segments of the other anchors are compared, by the
@@ -24,14 +24,14 @@ from shoplens.llm.common import settle, small_side, text_bytes
 #: Bytes of a repeated string.
 LENGTH = 200
 #: Bytes of a gram; the others of a window are how far its anchor may move.
-GRAM = 32
+GRAM = 64
 REACH = LENGTH - GRAM + 1
 #: Windows whose anchors are sought together.
 AT_ONCE = 1 << 16
 #: Bytes of segments that are transformed together.
 BLOCK = 1 << 17
 #: Different segments of an anchor beyond which its windows are compared by hash, by all tasks.
-HOT = 512
+HOT = 4096
 
 _U = np.uint64
 _PLACE = _U((1 << 17) - 1)
@@ -132,29 +132,48 @@ def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
 def common_prefixes(symbols: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """For each place in ``order`` but the first, whether ``depth`` symbols equal those before it.
 
-    ``known`` marks the borders between suffixes that differ within as many symbols as were
-    counted. A border of the next level arises where the suffixes on both sides of a border of
-    this level follow the same symbol; it lies at the rank that backward extension gives.
+    A border lies between neighbours in ``order`` that differ within as many symbols as were
+    counted. Extended backward by a symbol, a border of one level becomes a border of the next
+    level: between the last suffix before it and the first one after it that follow this
+    symbol. Each pair of successive suffixes after the same symbol is thus met once, at the
+    first level that has a border between them. Most pairs are neighbours and wait for one
+    border only; the others are looked through at each level.
     """
     n = len(symbols)
     before = symbols[order - 1]
-    alphabet, code = np.unique(before, return_inverse=True)
-    sizes = np.bincount(code, minlength=len(alphabet))
-    begin = np.cumsum(np.append(0, sizes))
-    seen = np.zeros((len(alphabet), n + 1), np.int32)
-    for c in range(len(alphabet)):
-        np.cumsum(code == c, out=seen[c, 1:])
-    seen += begin[:-1, None].astype(np.int32)
-    known = np.zeros(n + 1, bool)
-    known[begin] = True
-    fresh = begin[1:-1]
+    rank = np.argsort(before, kind="stable")  # by symbol: where suffixes are after extension
+    sorted_before = before[rank]
+    starts = np.flatnonzero(np.append(True, sorted_before[1:] != sorted_before[:-1]))
+    border = np.zeros(n + 1, bool)
+    border[starts] = True
+    pair = np.ones(n, bool)
+    pair[starts] = False
+    target = np.flatnonzero(pair)
+    left, right = rank[target - 1], rank[target]
+    close = right - left == 1
+    waiting = np.full(n + 1, -1, np.int64)
+    waiting[right[close]] = target[close]
+    left, right, target = left[~close], right[~close], target[~close]
+    fresh = starts
     for _ in range(1, depth):
         if not len(fresh):
             break
-        reached = seen[:, fresh].reshape(-1)
-        fresh = np.unique(reached[~known[reached]])
-        known[fresh] = True
-    return ~known[1:n]
+        reached = waiting[fresh]
+        reached = reached[reached >= 0]
+        if len(target):
+            if len(target) * 16 < n:
+                hit = np.searchsorted(fresh, right, "right") > np.searchsorted(
+                    fresh, left, "right"
+                )
+            else:
+                count = np.cumsum(border, dtype=np.int32)
+                hit = count[right] > count[left]
+            if hit.any():
+                reached = np.concatenate([reached, target[hit]])
+                left, right, target = left[~hit], right[~hit], target[~hit]
+        border[reached] = True
+        fresh = np.sort(reached)
+    return ~border[1:n]
 
 
 def repeated_windows(segments: list[bytes], weights: list[int], length: int = LENGTH):
@@ -237,7 +256,7 @@ def _window_hashes(contents: pa.Array) -> pa.Array:
 
 
 def _ranges(segments: DataFrame) -> DataFrame:
-    """anchor, segment, skip, found: runs of repeated windows in segments that differ.
+    """anchor, segment, runs: repeated windows of segments that differ, as (skip, found).
 
     ``segments``: anchor, segment, weight, content, one row for each different one.
     """
@@ -259,7 +278,10 @@ def _ranges(segments: DataFrame) -> DataFrame:
     hot = windows.join(twice.select("window"), "window").select(
         "anchor", "segment", F.col("skip").cast("long").alias("skip"), F.lit(1).cast("long")
     )
-    return usual.union(hot.toDF("anchor", "segment", "skip", "found"))
+    both = usual.union(hot.toDF("anchor", "segment", "skip", "found"))
+    return both.groupBy("anchor", "segment").agg(
+        F.collect_list(F.struct("skip", "found")).alias("runs")
+    )
 
 
 def _contents(texts: pa.Array, places: pa.Array) -> pa.Array:
@@ -321,10 +343,10 @@ def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """k1, k2, a, b: spans of repeated bytes of each row's text; they may overlap.
+    """k1, k2, spans: for each row that has any, the spans (a, b) of repeated bytes of its text.
 
-    Anchors are counted where they arise before they are moved. Texts are moved only if the rows
-    that hold repeated anchors are too many to broadcast their keys.
+    They may overlap. Anchors are counted where they arise before they are moved. Texts are
+    moved only if the rows that hold repeated anchors are too many to broadcast their keys.
     """
     rows = _keyed(docs, id, text)
     seek = F.arrow_udf(_anchors_of, _ANCHORS_DDL).asNondeterministic()
@@ -341,7 +363,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         .filter("n > 1")
         .select("anchor", (F.col("low") != F.col("high")).alias("differ"))
     )
-    met = settle(occurring.join(small_side(several, 2_000_000), "anchor"))
+    met = settle(occurring.join(small_side(several, 1_000_000), "anchor"))
     differing = met.filter("differ")
     places = differing.groupBy(*_KEY).agg(
         F.collect_set(F.struct("anchor", "segment", "first", "windows")).alias("places")
@@ -356,15 +378,20 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         .agg(F.count("*").alias("weight"), F.any_value("contents").alias("content"))
     )
     ranges = settle(_ranges(segments))
+    span = "struct({a} AS a, {a} + {n} + {more} AS b)"
     whole = met.filter("not differ").select(
-        *_KEY, F.col("first").alias("a"), (F.col("first") + F.col("windows")).alias("b")
+        *_KEY, F.expr(f"array({span.format(a='first', n='windows', more=LENGTH - 1)})").alias("s")
     )
+    run = span.format(a="first + r.skip", n="r.found", more=LENGTH - 1)
     partly = differing.join(ranges, ["anchor", "segment"]).select(
-        *_KEY,
-        (F.col("first") + F.col("skip")).alias("a"),
-        (F.col("first") + F.col("skip") + F.col("found")).alias("b"),
+        *_KEY, F.expr(f"transform(runs, r -> {run})").alias("s")
+    )
+    # a set, as rows that repeat bring the same spans
+    return (
+        whole.union(partly)
+        .groupBy(*_KEY)
+        .agg(F.flatten(F.collect_set("s")).alias("spans"))
     )
-    return whole.union(partly).withColumn("b", F.col("b") + LENGTH - 1)
 
 
 def remove_repeats(
@@ -378,9 +405,8 @@ def remove_repeats(
     text is empty, a short one stays. An empty table gives an empty one. Other columns are not
     read. ``kept`` is the remaining text as bytes; without ``with_kept`` it is left out.
     """
-    spans = settle(repeated_spans(docs, id, text).distinct())
-    by_row = spans.groupBy(*_KEY).agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    touched = small_side(settle(spans.select(*_KEY).distinct()))
+    by_row = settle(repeated_spans(docs, id, text))
+    touched = small_side(settle(by_row.select(*_KEY)))
     rows = _keyed(docs, id, text)
     hit = rows.join(touched, _KEY, "left_semi").join(by_row, _KEY)
     clean = rows.join(touched, _KEY, "left_anti").withColumn(
