@@ -100,5 +100,6 @@ def oracle_sql() -> dict[str, str]:
         "op1_quality_limits": quality.SQL,
         "op2_spaced_seeds": decontaminate.SQL,
         "op3_super_minhash": near_duplicates.SQL,
+        "op6_repeats": repeats.SQL,
         "op7_warc_bundles": warc_bundles.SQL,
     }

@@ -420,3 +420,41 @@ def remove_repeats(
         .select("doc_id", "r.*")
     )
     return found if with_kept else found.drop("kept")
+
+
+#: The same by counting all strings of ``LENGTH`` bytes, for engines without Spark.
+SQL = f"""
+WITH hexed AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+slices AS (  -- as a place in a long string takes long to find
+  SELECT doc_id, n, c * 512 AS base, substr(h, 1024 * c + 1, {2 * (512 + LENGTH)}) AS s
+  FROM (SELECT doc_id, h, length(h) // 2 AS n, unnest(range((length(h) + 1023) // 1024)) AS c
+    FROM hexed)
+),
+bytes AS (
+  SELECT doc_id, base + i AS p, substr(s, 2 * i + 1, 2) AS byte,
+    CASE WHEN base + i + {LENGTH} <= n THEN md5_number(substr(s, 2 * i + 1, {2 * LENGTH})) END
+      AS string
+  FROM (SELECT *, unnest(range(least(512, n - base))) AS i FROM slices)
+),
+often AS (
+  SELECT string FROM bytes WHERE string IS NOT NULL GROUP BY string HAVING count(*) > 1
+),
+marked AS (
+  SELECT doc_id, p, byte, max(CASE WHEN often.string IS NULL THEN 0 ELSE 1 END) OVER (
+    PARTITION BY doc_id ORDER BY p ROWS BETWEEN {LENGTH - 1} PRECEDING AND CURRENT ROW) AS gone
+  FROM bytes LEFT JOIN often USING (string)
+),
+edged AS (
+  SELECT *, gone - lag(gone, 1, 0) OVER (PARTITION BY doc_id ORDER BY p) AS edge FROM marked
+),
+cut AS (
+  SELECT doc_id, sum(gone) AS n_removed, count(*) FILTER (WHERE edge = 1) AS n_spans,
+    string_agg(byte, '' ORDER BY p) FILTER (WHERE gone = 0) AS kept
+  FROM edged GROUP BY doc_id
+)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes,
+  CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+  CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM hexed LEFT JOIN cut USING (doc_id)
+"""
