@@ -22,6 +22,8 @@ PASSAGE = 25
 PERCENT = 80
 #: Rows of seeds or candidates that may be broadcast.
 MAX_BROADCAST = 500_000
+#: 64-bit words of the bitmap of seeds that is broadcast instead of more seeds than that (16 MB).
+BITMAP_WORDS = 1 << 21
 
 
 def words(text: str) -> Column:
@@ -67,6 +69,31 @@ def items(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> Data
     )
 
 
+def _word_of(seed: Column) -> Column:
+    return F.pmod(F.shiftright(seed, 6), F.lit(BITMAP_WORDS)).cast("int")
+
+
+def _bit_of(seed: Column) -> Column:
+    return seed.bitwiseAND(F.lit(63)).cast("int")
+
+
+def _marked(seed: Column, bits: Column) -> Column:
+    return F.getbit(F.get(bits, _word_of(seed)), _bit_of(seed)) == 1
+
+
+def bitmap(known: DataFrame) -> DataFrame:
+    """one = 1, bits: a row with ``BITMAP_WORDS`` words in which each seed has marked a bit."""
+    one_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit_of(F.col("seed")))
+    words = known.groupBy(_word_of(F.col("seed")).alias("id")).agg(F.bit_or(one_bit).alias("w"))
+    all_words = known.sparkSession.range(BITMAP_WORDS).join(words, "id", "left")
+    ordered = F.array_sort(
+        F.collect_list(F.struct("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w")))
+    )
+    return all_words.agg(F.transform(ordered, lambda s: s["w"]).alias("bits")).withColumn(
+        "one", F.lit(1)
+    )
+
+
 def equal_words(doc: Column, item: Column, shift: Column) -> Column:
     """1 or 0 for each word of an item laid on a document from word ``shift``."""
     return F.transform(
@@ -102,8 +129,10 @@ def contaminated(
     hold nothing; rows of a document that repeat give one result; an empty table on either side
     gives an empty one. Other columns are not read.
 
-    Seeds of the benchmark are broadcast if there are at most ``MAX_BROADCAST``, else joined by
-    shuffle; so are the candidates with the documents in which they are verified.
+    Seeds of the benchmark are broadcast if there are at most ``MAX_BROADCAST``. Else a bitmap
+    of them is, of a fixed size, and only seeds of documents that hit it are shuffled to those
+    of the benchmark. The candidates are joined with the documents in which they are verified
+    by broadcast up to the same number, else by shuffle.
     """
     wanted = settle(items(benchmark, item_id, item_text))
     known = settle(
@@ -115,10 +144,17 @@ def contaminated(
         F.col(id).alias("doc_id"), F.col(text).alias("text")
     )
     hashed = whole.select("doc_id", once(words("text")).alias("doc"))
-    found = hashed.select("doc_id", F.inline(seeds(F.col("doc"))))
+    if known.count() <= MAX_BROADCAST:
+        found = hashed.select("doc_id", F.inline(seeds(F.col("doc"))))
+        hits = found.join(F.broadcast(known), "seed")
+    else:
+        with_bitmap = hashed.withColumn("one", F.lit(1)).join(
+            F.broadcast(bitmap(known)), "one"
+        )
+        possible = F.filter(seeds(F.col("doc")), lambda s: _marked(s["seed"], F.col("bits")))
+        hits = with_bitmap.select("doc_id", F.inline(possible)).join(known, "seed")
     candidates = settle(
-        found.join(small_side(known, MAX_BROADCAST), "seed")
-        .select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
+        hits        .select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
         .distinct()
     )
     laid = (

@@ -53,6 +53,7 @@ def test_leaks_are_found_in_spite_of_substitutions(spark):
 @pytest.mark.parametrize("limit", [decontaminate.MAX_BROADCAST, 0])
 def test_sql_finds_the_same(spark, monkeypatch, limit):
     monkeypatch.setattr(decontaminate, "MAX_BROADCAST", limit)
+    monkeypatch.setattr(decontaminate, "BITMAP_WORDS", 64)
     texts = [(i, t) for i, t in cases.odd_texts() if i != 18] + leaks()
     docs, items = cases.documents(spark, texts), benchmark(spark)
     connection = duckdb.connect()
