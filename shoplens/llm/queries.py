@@ -102,4 +102,5 @@ def oracle_sql() -> dict[str, str]:
         "op3_super_minhash": near_duplicates.SQL,
         "op6_repeats": repeats.SQL,
         "op7_warc_bundles": warc_bundles.SQL,
+        "op8_secret_scan": secrets.SQL,
     }

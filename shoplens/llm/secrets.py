@@ -192,3 +192,75 @@ def redact_secrets(docs: DataFrame, text: str = "text", length: str | None = Non
             for name in docs.columns
         ]
     )
+
+
+def _sql_matches(kind: str, pattern: str, valid: str) -> str:
+    """Matches of a pattern with their places: what lies between them tells how far they are."""
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, first, first + length(found) AS last, found FROM (
+    SELECT doc_id, m[k] AS found,
+      CAST(list_sum(list_transform(p[1:k], lambda x: length(x)))
+      + coalesce(list_sum(list_transform(m[1:k-1], lambda x: length(x))), 0) AS BIGINT) AS first
+    FROM (SELECT doc_id, m, p, unnest(range(1, len(m) + 1)) AS k FROM (
+      SELECT doc_id, regexp_extract_all(t, '{pattern}') AS m,
+        string_split_regex(t, '{pattern}') AS p
+      FROM texts))
+  ) WHERE {valid}"""
+
+
+def _sql_tokens(kind: str, keyword: str) -> str:
+    """Tokens that end in the CRC-32 of their 30 characters, as six base-62 digits."""
+    bits = "list_transform(range(240), lambda i: (ord(body[i // 8 + 1]) >> (i % 8)) & 1)"
+    crc = (
+        f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bits}), lambda c, b:"
+        " xor(c >> 1, (xor(c, b) & 1) * 3988292384)), 4294967295)"
+    )
+    return rf"""
+  SELECT doc_id, '{kind}' AS kind, first, first + 40 AS last, token AS found FROM (
+    SELECT doc_id, first, token, right(token, 6) AS tail, {crc} AS crc FROM (
+      SELECT doc_id, first, left(after, 40) AS token, after[5:34] AS body FROM (
+        SELECT doc_id, first, substr(t, first + 1, 41) AS after
+        FROM ({_sql_matches(kind, keyword, "true")}) JOIN texts USING (doc_id))
+      WHERE regexp_matches(after, '^{keyword}[0-9A-Za-z]{{36}}([^0-9A-Za-z]|$)')))
+  WHERE tail = list_aggregate(list_transform(range(5, -1, -1), lambda e: substr(
+    '{BASE62.decode()}', CAST(crc // CAST(power(62, e) AS BIGINT) % 62 AS INTEGER) + 1, 1)),
+    'string_agg', '')"""
+
+
+def _sql() -> str:
+    either = "|".join(
+        re.sub("[a-z]", lambda m: f"[{m[0]}{m[0].upper()}]", word)
+        for word in ("password", "passwd", "secret", "token", "api_?key")
+    )
+    head = rf"""({either})["\x27]?\x20*[:=]\x20*["\x27]?"""
+    spans = " UNION ALL ".join(
+        [
+            _sql_matches(
+                "assign",
+                f"{head}[A-Za-z0-9+/_.=-]+",
+                f"length(regexp_replace(found, '^{head}', '')) >= {MIN_ASSIGNED}",
+            ),
+            _sql_matches("access", "AKIA[A-Z0-9]+", f"length(found) >= {MIN_ACCESS}"),
+            _sql_matches("hex", "[0-9a-f]+", "length(found) >= 16"),
+            _sql_tokens("github", "gh[oprsu]_"),
+            _sql_tokens("npm", "npm_"),
+        ]
+    )
+    kinds = ", ".join(f"'{kind}'" for kind in KINDS)
+    listed = "string_agg(kind || ':' || first || ':' || last, ',' ORDER BY first, rank)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{kind}') AS n_{kind}" for kind in BASE)
+    zeros = ", ".join(f"coalesce(n_{kind}, 0) AS n_{kind}" for kind in BASE)
+    return f"""
+WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+spans AS (SELECT *, list_position([{kinds}], kind) AS rank FROM ({spans})),
+found AS (
+  SELECT doc_id, {counts}, {listed} FILTER (WHERE rank <= {len(BASE)}) AS base, {listed} AS spans
+  FROM spans GROUP BY doc_id
+)
+SELECT doc_id, {zeros}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (doc_id)
+"""
+
+
+#: The same for engines without Spark, for tables whose ids do not repeat.
+SQL = _sql()
