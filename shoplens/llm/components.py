@@ -73,9 +73,8 @@ def components(links: DataFrame) -> DataFrame:
         before = now
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        larger = (
-            both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        )
+        up = both.filter("v > u").join(least, "u")
+        larger = up.select(F.col("v").alias("u"), F.col("m").alias("v"))
         large = settle(larger.filter("u > v").distinct())
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -154,8 +154,9 @@ def contaminated(
         possible = F.filter(seeds(F.col("doc")), lambda s: _marked(s["seed"], F.col("bits")))
         hits = with_bitmap.select("doc_id", F.inline(possible)).join(known, "seed")
     candidates = settle(
-        hits        .select("doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift"))
-        .distinct()
+        hits.select(
+            "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")
+        ).distinct()
     )
     laid = (
         whole.join(small_side(candidates, MAX_BROADCAST), "doc_id")

@@ -371,7 +371,8 @@ def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFra
         return stay.select(docs.columns)
     many = small_side(repeated)
     first = F.row_number().over(Window.partitionBy(id).orderBy(F.col(text).asc_nulls_last()))
-    once = stay.join(many, id, "left_semi").withColumn("rank of id", first).filter("`rank of id` = 1")
+    ranked = stay.join(many, id, "left_semi").withColumn("rank of id", first)
+    once = ranked.filter("`rank of id` = 1")
     return (
         stay.join(many, id, "left_anti")
         .select(docs.columns)

@@ -72,6 +72,11 @@ def luhn(digits: bytes) -> bool:
     return total % 10 == 0
 
 
+def at_most_255(figures: bytes) -> bool:
+    """Also of thousands of figures, which ``int`` refuses."""
+    return len(figures.lstrip(b"0")) <= 3 and int(figures[-3:]) <= 255
+
+
 def emails(text: bytes) -> list[Span]:
     found, free = [], 0
     at = text.find(b"@")
@@ -91,7 +96,7 @@ def base_spans(text: bytes) -> list[Span]:
     """Base spans in bytes, by kind and then start: leftmost, not overlapping within a kind."""
     found = emails(text)
     for match in IP.finditer(text):
-        if all(int(part[-4:]) <= 255 and len(part.lstrip(b"0")) <= 3 for part in match[0].split(b".")):
+        if all(map(at_most_255, match[0].split(b"."))):
             found.append(("ip", *match.span()))
     for match in CARD.finditer(text):
         digits = match[0].translate(None, NOT_FIGURES)

@@ -32,7 +32,15 @@ MIN_GROUP = 200
 #: Distances between the quartiles that a limit lies above the upper or below the lower quartile.
 REACH = 4
 
-COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "n_echoes")
+COUNTS = (
+    "n_words",
+    "word_chars",
+    "n_symbols",
+    "n_lines",
+    "n_dup_lines",
+    "n_repeat_words",
+    "n_echoes",
+)
 _COUNTS = pa.struct([(name, pa.int64()) for name in COUNTS])
 _COUNTS_DDL = "struct<" + ",".join(f"{name}:bigint" for name in COUNTS) + ">"
 

@@ -99,7 +99,8 @@ def test_signatures_are_those_of_the_sequential_method():
                 values[order[step]] = min(values[order[step]], value)
         return values
 
-    sets = [near.shingles(cases.prose(s, n).encode()) for s, n in ((1, 5), (2, 40), (3, 1), (4, 90))]
+    shapes = ((1, 5), (2, 40), (3, 1), (4, 90))
+    sets = [near.shingles(cases.prose(seed, n).encode()) for seed, n in shapes]
     assert near.signatures(sets).tolist() == [one(s.tolist()) for s in sets]
 
 

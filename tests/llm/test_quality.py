@@ -81,7 +81,9 @@ def test_sketches_merge_to_the_sketch_of_all(spark):
 def test_a_sketch_is_close(spark):
     data = [("a", "b", "m", v - v % max(1, 2 ** (v.bit_length() - 8)), 1) for v in range(1, 5000)]
     sketches = quality.merge(
-        spark.createDataFrame(data, "lang STRING, source STRING, measure STRING, value LONG, n LONG"),
+        spark.createDataFrame(
+            data, "lang STRING, source STRING, measure STRING, value LONG, n LONG"
+        ),
         ["lang", "source"],
     )
     row = quality.quartiles(sketches, ["lang", "source"]).first()
