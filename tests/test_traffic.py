@@ -52,7 +52,10 @@ def test_errors(spark):
 def test_totals_give_the_same_as_requests(spark, kept):
     logs = requests(
         spark,
-        *[req(f"{i % 3}", f"/{i % 4}", status=(200, 404, 500, 503)[i % 4], ms=i) for i in range(40)],
+        *[
+            req(f"{i % 3}", f"/{i % 4}", status=(200, 404, 500, 503)[i % 4], ms=i)
+            for i in range(40)
+        ],
         *[req("9", "/slow", ms=5000, time="31/Feb/2025:01:00:00 +0000")] * 11,
         req("8", "/slow", ms=99999999999),
     )
