@@ -306,8 +306,11 @@ def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[Data
         .withColumn("t", F.col("d") - F.col("lonely"))
         .filter(F.col("lonely") <= near * (1 + 100 / PERCENT) * F.col("size"))
     )
+    # a bound that rules a pair out in one bucket rules it out in all, so the first one decides
+    of_node = rated.groupBy("node").agg(F.collect_set("bucket").alias("buckets"))
+    rated = settle(rated.join(of_node, "node"))
     one = rated.filter("component != of_a")
-    told_apart = ("node", "component", "d", "t", "size")
+    told_apart = ("node", "component", "d", "t", "size", "buckets")
     two = rated.select("bucket", *[F.col(c).alias(f"{c}_2") for c in told_apart])
     possible = (
         (F.col("component") != F.col("component_2"))
@@ -316,6 +319,7 @@ def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[Data
             F.col("d") + F.col("d_2") - 2 * F.least("t", "t_2")
             <= near * (F.col("size") + F.col("size_2"))
         )
+        & (F.array_min(F.array_intersect("buckets", "buckets_2")) == F.col("bucket"))
     )
     pairs = (
         one.join(two, "bucket")
