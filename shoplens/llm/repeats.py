@@ -32,6 +32,8 @@ AT_ONCE = 1 << 16
 BLOCK = 1 << 17
 #: Different segments of an anchor beyond which its windows are compared by hash, by all tasks.
 HOT = 4096
+#: Repeated anchors that may be broadcast (about 35 bytes each, so 70 MB).
+MAX_BROADCAST = 2_000_000
 
 _U = np.uint64
 _PLACE = _U((1 << 17) - 1)
@@ -363,7 +365,7 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         .filter("n > 1")
         .select("anchor", (F.col("low") != F.col("high")).alias("differ"))
     )
-    met = settle(occurring.join(small_side(several, 1_000_000), "anchor"))
+    met = settle(occurring.join(small_side(several, MAX_BROADCAST), "anchor"))
     differing = met.filter("differ")
     places = differing.groupBy(*_KEY).agg(
         F.collect_set(F.struct("anchor", "segment", "first", "windows")).alias("places")
