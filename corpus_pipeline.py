@@ -12,6 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from shoplens.llm import decontaminate, length_buckets, near_duplicates, quality, secrets
 from shoplens.llm.common import fresh_folder, ship
 
+#: Words of a shingle of the near-duplicate stage; four, as in operator 3, link more loosely.
+SHINGLE = 5
+
 
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the limits of their language and source."""
@@ -20,7 +23,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near duplicates."""
-    return near_duplicates.keep_one(docs)
+    return near_duplicates.keep_one(docs, shingle=SHINGLE)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

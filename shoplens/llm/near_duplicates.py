@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from shoplens.llm.common import settle, small_side, text_bytes
 from shoplens.llm.components import components
 
-#: Words of a shingle, and the least percentage of shared shingles that links documents.
+#: Words of a shingle where no other number is given, and the least percentage of shared shingles
+#: that links documents.
 SHINGLE = 4
 PERCENT = 80
 #: Bands and rows: at a similarity of 0.8 a pair meets in no band once in 20 million times.
@@ -31,7 +32,14 @@ MEMO_WORDS = 300_000
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 _FACTORS = np.array(
-    [0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3], _U
+    [
+        0xD6E8FEB86659FD93,
+        0xA0761D6478BD642F,
+        0xE7037ED1A0B428DB,
+        0x8EBC6AF09C88C6E3,
+        0x589965CC75374CC3,
+    ],
+    _U,
 )
 _STEPS = np.arange(1, PLACES + 1, dtype=_U) * _STEP
 _EMPTY = _U(0xFFFFFFFFFFFFFFFF)
@@ -55,17 +63,17 @@ class _WordHashes(dict):
 _words = _WordHashes()
 
 
-def shingles(text: bytes) -> np.ndarray:
+def shingles(text: bytes, shingle: int = SHINGLE) -> np.ndarray:
     """Sorted hashes of the different shingles of a text."""
     words = text.lower().split()
     if not words:
         return np.empty(0, _U)
     hashes = np.fromiter(map(_words.__getitem__, words), _U, len(words))
-    size = min(SHINGLE, len(words))
+    size = min(shingle, len(words))
     n = len(words) - size + 1
     total = np.full(n, _U(size), _U)
     for k in range(size):
-        total = mix(total + hashes[k : k + n] * _FACTORS[k % 4])
+        total = mix(total + hashes[k : k + n] * _FACTORS[k % len(_FACTORS)])
     return np.unique(total)
 
 
@@ -129,7 +137,7 @@ def _lists(rows: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
 
 
-def _sign(texts: pa.Array) -> pa.Array:
+def _sign(texts: pa.Array, shingle: int) -> pa.Array:
     sizes, keys, buckets = [], [], []
     waiting: list[np.ndarray] = []
 
@@ -141,7 +149,7 @@ def _sign(texts: pa.Array) -> pa.Array:
 
     gathered = 0
     for text in texts:
-        found = shingles(text.as_py())
+        found = shingles(text.as_py(), shingle)
         sizes.append(len(found))
         keys.append(_set_key(found))
         waiting.append(found)
@@ -161,8 +169,8 @@ def _sign(texts: pa.Array) -> pa.Array:
     )
 
 
-def _sets(texts: pa.Array) -> pa.Array:
-    found = [shingles(text.as_py()) for text in texts]
+def _sets(texts: pa.Array, shingle: int) -> pa.Array:
+    found = [shingles(text.as_py(), shingle) for text in texts]
     keys = [_set_key(s) for s in found]
     return pa.StructArray.from_arrays(
         [
@@ -174,22 +182,34 @@ def _sets(texts: pa.Array) -> pa.Array:
     )
 
 
-def sign(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def sign(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """doc_id, n_shingles, (k1, k2) that tell sets apart, bands (none without a word)."""
+
+    def of_texts(texts: pa.Array) -> pa.Array:
+        return _sign(texts, shingle)
+
     signed = F.arrow_udf(
-        _sign, "struct<n_shingles:bigint,k1:bigint,k2:bigint,bands:array<bigint>>"
+        of_texts, "struct<n_shingles:bigint,k1:bigint,k2:bigint,bands:array<bigint>>"
     ).asNondeterministic()
     return docs.select(F.col(id).alias("doc_id"), signed(text_bytes(text)).alias("s")).select(
         "doc_id", "s.*"
     )
 
 
-def _sets_of(nodes: DataFrame, classes: DataFrame, docs: DataFrame, id: str, text: str):
+def _sets_of(
+    nodes: DataFrame, classes: DataFrame, docs: DataFrame, id: str, text: str, shingle: int
+) -> DataFrame:
     """node, items: the full sets of some nodes."""
+
+    def of_texts(texts: pa.Array) -> pa.Array:
+        return _sets(texts, shingle)
+
     wanted = settle(
         classes.join(nodes, "node").select("node", F.col("k1").alias("c1"), F.col("k2").alias("c2"))
     )
-    make = F.arrow_udf(_sets, "struct<k1:bigint,k2:bigint,items:array<bigint>>")
+    make = F.arrow_udf(of_texts, "struct<k1:bigint,k2:bigint,items:array<bigint>>")
     return settle(
         docs.select(F.col(id).alias("node"), text_bytes(text).alias("text"))
         .join(small_side(wanted), "node")
@@ -244,7 +264,9 @@ def _lonely(stars: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
-def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[DataFrame, DataFrame]:
+def linked(
+    signed: DataFrame, docs: DataFrame, id: str, text: str, shingle: int = SHINGLE
+) -> tuple[DataFrame, DataFrame]:
     """Classes of equal sets (k1, k2, node) and the components of their nodes.
 
     A node is the smallest id of a class, so copies are one node from here on. Each bucket of a
@@ -271,7 +293,7 @@ def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[Data
         .select("bucket", (-F.col("head.node")).alias("a"))
     )
     stars = settle(met.join(heads, "bucket").filter("a != node").select("bucket", "a", "node"))
-    sets = _sets_of(met.select("node").distinct(), classes, docs, id, text)
+    sets = _sets_of(met.select("node").distinct(), classes, docs, id, text, shingle)
     tried = settle(
         _compared(stars.select("a", F.col("node").alias("b")).distinct(), sets)
     )
@@ -331,17 +353,19 @@ def linked(signed: DataFrame, docs: DataFrame, id: str, text: str) -> tuple[Data
     return classes, labels if more.isEmpty() else components(links.union(more))
 
 
-def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """doc_id, n_shingles, component_id, kept: a row for each different id of ``docs``.
 
-    Documents are linked if their sets of shingles share ``PERCENT`` of their union, and a
-    component is named by its smallest id, whose document is the one kept. Documents without a
+    Documents are linked if their sets of shingles of ``shingle`` words share ``PERCENT`` of their
+    union, and a component is named by its smallest id, whose document is the one kept. Documents without a
     word are linked with nothing. If an id has several rows, it has all their links. Rows
     without an id stay as they are, unlinked and kept, with a null component. An empty table
     gives an empty one; other columns are not read.
     """
-    signed = settle(sign(docs, id, text))
-    classes, labels = linked(signed, docs, id, text)
+    signed = settle(sign(docs, id, text, shingle))
+    classes, labels = linked(signed, docs, id, text, shingle)
     nodes = _with_component(classes.select("k1", "k2", "node"), labels).drop("node")
     rows = signed.select("doc_id", "n_shingles", "k1", "k2").join(nodes, ["k1", "k2"], "left")
     named = (
@@ -359,13 +383,15 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text") ->
     return named.union(none).withColumn("kept", kept)
 
 
-def keep_one(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_one(
+    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns: one document of each component.
 
     Of rows with the same id the first by text stays. Texts move between machines only if the
     ids that go, or those that repeat, are too many to broadcast.
     """
-    judged = settle(near_duplicates(docs, id, text))
+    judged = settle(near_duplicates(docs, id, text, shingle))
     gone = judged.filter("not kept").select(F.col("doc_id").alias(id))
     stay = docs.join(small_side(gone), id, "left_anti")
     repeated = settle(

@@ -40,7 +40,7 @@ def op2_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_super_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's component of near duplicates."""
-    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4)
 
 
 def op4_vector_shards(spark: SparkSession, sf_dir: str) -> DataFrame:

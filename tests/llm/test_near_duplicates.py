@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import corpus_pipeline
 import llm_cases as cases
 import numpy as np
 import pytest
@@ -84,6 +85,19 @@ def test_keep_one(spark):
     assert near.keep_one(cases.none(spark)).count() == 0
 
 
+def test_the_stage_takes_five_words(spark):
+    def changed(word, *places):
+        return " ".join(f"new{n}" if n in places else f"{word}{n}" for n in range(120))
+
+    # of sets of four and five words, three changes leave 105 of 129 and 101 of 131, two changes
+    # 109 of 125 and 106 of 126
+    texts = [changed("w"), changed("w", 20, 60, 100), changed("v"), changed("v", 30, 90)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    assert cases.found(near.keep_one(docs), "doc_id") == [(0,), (2,)]
+    stay = corpus_pipeline.one_of_each(spark, docs, "")
+    assert cases.found(stay, "doc_id") == [(0,), (1,), (2,)]
+
+
 def test_signatures_are_those_of_the_sequential_method():
     def one(elements):
         """The method element by element, with early stopping per element left out."""
