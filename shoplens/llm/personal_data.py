@@ -25,7 +25,7 @@ from shoplens.llm.common import settle, text_bytes
 BASE = ("email", "ip", "card", "phone")
 ADDED = ("email_like", "ip_like", "card_like", "phone_like")
 
-#: Proposals of each family that the trees learn from, and as many more for the threshold.
+#: Proposals of each family that the trees learn from; all others set its threshold.
 SAMPLE = 10_000
 #: Examples and counterexamples without which nothing is learnt and no span is added.
 MIN_EXAMPLES = 20
@@ -237,17 +237,23 @@ def _look_all(texts: pa.Array) -> pa.Array:
     return pa.array([look(text) for text in texts.to_pylist()], _FOUND)
 
 
-def thresholds(kinds: list[str], scores: np.ndarray, right: np.ndarray) -> dict[str, float]:
-    """For each kind the lowest score from which on ``PRECISION`` of the proposals are right."""
+def thresholds(
+    kinds: list[str], scores: np.ndarray, right: np.ndarray, rows: np.ndarray | None = None
+) -> dict[str, float]:
+    """For each kind the lowest score from which on ``PRECISION`` of the proposals are right.
+
+    Each place stands for one proposal or, with ``rows``, for so many, of which ``right`` are.
+    """
+    rows = np.ones(len(right), int) if rows is None else rows
     found = {}
     for kind in ADDED:
         own = np.array([k == kind for k in kinds], bool)
         order = np.argsort(-scores[own], kind="stable")
-        score, good = scores[own][order], right[own][order]
-        if good.sum() < MIN_EXAMPLES or (1 - good).sum() < 1:
+        score, good, all_ = scores[own][order], right[own][order], rows[own][order]
+        if good.sum() < MIN_EXAMPLES or (all_ - good).sum() < 1:
             continue
         last = np.flatnonzero(np.append(score[1:] != score[:-1], True))
-        share = np.cumsum(good)[last] / (last + 1)
+        share = np.cumsum(good)[last] / np.cumsum(all_)[last]
         if (share >= PRECISION).any():
             found[kind] = float(score[last[np.flatnonzero(share >= PRECISION)[-1]]])
     return found
@@ -258,26 +264,40 @@ def _score(model, offered: DataFrame) -> DataFrame:
     return scored.withColumn("score", vector_to_array("probability")[1])
 
 
-def selected(offered: DataFrame) -> DataFrame | None:
-    """Of the proposals those to be added; None if there is too little to learn from.
+def _drawn(offered: DataFrame) -> DataFrame:
+    """kind, hash: the proposals to learn from, ``SAMPLE`` of each family at most.
 
-    At most ``2 * SAMPLE`` proposals of each family are used, the first by a hash, so the choice
-    does not depend on partitions; one half teaches, the other sets the thresholds.
+    Of each of 64 parts the smallest hashes are taken, every other one, so that no task holds a
+    whole family and more are left to set the threshold. Proposals with the same hash, those of
+    rows that repeat, are one.
     """
-    order = F.xxhash64("row", "kind", "start", "stop")
-    rank = F.row_number().over(Window.partitionBy("kind", "part").orderBy("hash", "row"))
-    # the smallest hashes of each of 64 parts first, so that no task holds a whole family
-    sample = settle(
-        offered.withColumn("hash", order)
+    rank = F.row_number().over(Window.partitionBy("kind", "part").orderBy("hash"))
+    return settle(
+        offered.select("kind", "hash")
+        .distinct()
         .withColumn("part", F.pmod("hash", F.lit(64)))
         .withColumn("rank", rank)
-        .filter(F.col("rank") <= 2 * SAMPLE // 64)
-        .withColumn("half", F.pmod("rank", F.lit(2)))
-        .select("kind", "hash", "half", "right", "features")
+        .filter((F.col("rank") <= 2 * SAMPLE // 64) & (F.col("rank") % 2 == 0))
+        .select("kind", "hash")
+    )
+
+
+def selected(offered: DataFrame, key: str = "row") -> DataFrame | None:
+    """Of the proposals those to be added; None if there is too little to learn from.
+
+    At most ``SAMPLE`` proposals of each family teach, drawn by a hash of ``key`` and their
+    place. ``key`` tells rows apart however the table is dealt, so the draw does not depend on
+    partitions. All other proposals are scored and set the thresholds.
+    """
+    hashed = offered.withColumn("hash", F.xxhash64(key, "kind", "start", "stop"))
+    drawn = F.broadcast(_drawn(hashed))
+    teaching = settle(
+        hashed.join(drawn, ["kind", "hash"], "left_semi")
+        .select("kind", "hash", "right", "features")
+        .dropDuplicates(["kind", "hash"])
         .coalesce(1)
         .sortWithinPartitions("kind", "hash")
     )
-    teaching = sample.filter("half = 0")
     classes = {row["right"]: row["count"] for row in teaching.groupBy("right").count().collect()}
     if min(classes.get(0, 0), classes.get(1, 0)) < MIN_EXAMPLES:
         return None
@@ -285,16 +305,27 @@ def selected(offered: DataFrame) -> DataFrame | None:
         labelCol="right", featuresCol="vector", maxIter=TREES, maxDepth=DEPTH, seed=1
     )
     model = trees.fit(teaching.withColumn("vector", array_to_vector("features")))
-    held = _score(model, sample.filter("half = 1")).select("kind", "score", "right").collect()
+    scored = settle(
+        _score(model, hashed).select(
+            "row", "kind", "start", "stop", "right", "known", "hash", "score"
+        )
+    )
+    held = (
+        scored.join(drawn, ["kind", "hash"], "left_anti")
+        .groupBy("kind", "score")
+        .agg(F.sum("right").alias("right"), F.count("*").alias("rows"))
+        .collect()
+    )
     limits = thresholds(
-        [row.kind for row in held],
-        np.array([row.score for row in held], float),
-        np.array([row.right for row in held], int),
+        [row["kind"] for row in held],
+        np.array([row["score"] for row in held], float),
+        np.array([row["right"] for row in held], int),
+        np.array([row["rows"] for row in held], int),
     )
     limit: Column = F.lit(None).cast("double")
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    fresh = _score(model, offered.filter("not known"))
+    fresh = scored.filter("not known")
     return fresh.filter(F.col("score") >= limit).select("row", "kind", "start", "stop")
 
 
@@ -308,13 +339,17 @@ def find_personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text")
     """
     look_all = F.arrow_udf(_look_all, _FOUND_DDL).asNondeterministic()
     found = settle(
-        docs.select(F.col(id).alias("doc_id"), look_all(text_bytes(text)).alias("f"))
-        .select("doc_id", "f.*")
+        docs.select(
+            F.col(id).alias("doc_id"),
+            F.xxhash64(F.col(id), text_bytes(text)).alias("key"),
+            look_all(text_bytes(text)).alias("f"),
+        )
+        .select("doc_id", "key", "f.*")
         .withColumn("row", F.monotonically_increasing_id())
     )
-    offered = found.select("row", F.inline("proposed"))
-    added = selected(offered)
-    rows = found.drop("proposed")
+    offered = found.select("row", "key", F.inline("proposed"))
+    added = selected(offered, "key")
+    rows = found.drop("proposed", "key")
     if added is None:
         return rows.withColumnRenamed("base", "spans").drop("row")
     number = F.array_position(F.array(*map(F.lit, ADDED)), F.col("kind"))

@@ -123,6 +123,50 @@ def test_held_out_precision(spark):
     assert added.filter("right = 0 and row < 1500").count() <= 0.01 * added.count()
 
 
+def seen_by_thresholds(monkeypatch):
+    """What each call of ``thresholds`` gets, and how many proposals that stands for."""
+    seen, real = [], personal.thresholds
+
+    def spy(kinds, scores, right, rows=None):
+        count = len(kinds) if rows is None else int(np.sum(rows))
+        seen.append((count, sorted(zip(kinds, scores, right, strict=True))))
+        return real(kinds, scores, right, rows) if rows is not None else real(kinds, scores, right)
+
+    monkeypatch.setattr(personal, "thresholds", spy)
+    return seen
+
+
+def test_all_proposals_but_the_learnt_ones_set_the_thresholds(spark, monkeypatch):
+    monkeypatch.setattr(personal, "SAMPLE", 64)
+    seen = seen_by_thresholds(monkeypatch)
+    docs, _ = learnable(spark, 600)
+    offered = sum(len(personal.proposals(r.text.encode())) for r in docs.collect())
+    personal.find_personal_data(docs).collect()
+    assert offered - 64 * len(personal.ADDED) <= seen[0][0] < offered
+
+
+def test_draw_does_not_depend_on_partitions(spark, monkeypatch):
+    taught, real = [], personal.GBTClassifier.fit
+
+    def spy(trees, data):
+        taught.append(sorted(map(str, data.select("kind", "right", "features").collect())))
+        return real(trees, data)
+
+    monkeypatch.setattr(personal, "SAMPLE", 64)
+    monkeypatch.setattr(personal.GBTClassifier, "fit", spy)
+    docs, _ = learnable(spark, 600)
+    for dealt in (docs.coalesce(1), docs.repartition(7, "text")):
+        personal.find_personal_data(dealt).collect()
+    assert taught[0] and taught[0] == taught[1]
+
+
+def test_thresholds_of_a_histogram():
+    scores, right = np.array([0.9, 0.5, 0.1]), np.array([990, 99, 0])
+    rows = np.array([1000, 100, 10])
+    found = personal.thresholds(["ip_like"] * 3, scores, right, rows)
+    assert found == {"ip_like": 0.5}
+
+
 def test_thresholds():
     kinds = ["phone_like"] * 100
     scores = np.linspace(0, 1, 100)
