@@ -2,15 +2,19 @@
 
 What the base patterns find and check is always redacted. Besides, wider patterns propose spans
 of the same families; gradient-boosted trees score them by their format and their surroundings.
-The trees learn from the corpus itself: proposals that meet a checked base span are examples of
-their family, all others are counterexamples. A threshold is the lowest score from which on
-proposals that were not learnt from are right often enough.
+The trees learn from the corpus itself: proposals that meet a checked base span (of cards and
+phones, those with just its figures) are examples of their family, all others are counterexamples.
+A threshold is the lowest score from which on proposals that were not learnt from are right often
+enough. Proposals may overlap; of those above their thresholds the best by score are added.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +39,10 @@ TREES = 10
 DEPTH = 3
 #: Bytes before a proposal in which words count.
 CONTEXT = 32
+#: Fewest and most digits of proposed figures, by kind.
+DIGITS = {"card_like": (12, 20), "phone_like": (7, 16)}
+#: Proposals that a worker gathers before they become Arrow data.
+AT_ONCE = 10_000
 
 # The base patterns and what must hold for a match.
 LOCAL = frozenset(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -43,8 +51,9 @@ IP = re.compile(rb"[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 CARD = re.compile(rb"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(rb"\+[0-9][\x20().0-9-]+[0-9]")
 
-# What proposes spans: figures with separators, four or more numbers, written-out addresses.
-FIGURES = re.compile(rb"\+?\(?[0-9][0-9\x20().-]{4,40}[0-9]")
+# What proposes spans: runs of figures with separators, four or more numbers, written-out addresses.
+RUN = re.compile(rb"[0-9][0-9\x20().-]*")
+GROUP = re.compile(rb"[0-9]+")
 NUMBERS = re.compile(rb"[0-9]{1,3}(?:[.:,][0-9]{1,3}){3}")
 ADDRESS = re.compile(
     rb"[A-Za-z0-9._%+-]{1,64}\x20?(?:@|\(at\)|\[at\])\x20?"
@@ -114,19 +123,44 @@ def stands_alone(text: bytes, match: re.Match) -> bool:
     return not (text[start - 1 : start].isalnum() or text[end : end + 1].isalnum())
 
 
+def figures(text: bytes) -> Iterator[tuple[int, int, int]]:
+    """(start, end, digits) of all groups in a row, within any run, of 7 to 20 digits together.
+
+    A run may be of any length; as digits are bounded, a group begins 20 of them at most. Those
+    that a letter touches, as inside keys and hashes, are left out. A bracket and a plus before
+    the first group are part of it.
+    """
+    least = min(low for low, _ in DIGITS.values())
+    most = max(high for _, high in DIGITS.values())
+    for run in RUN.finditer(text):
+        groups = [match.span() for match in GROUP.finditer(text, *run.span())]
+        for i, (first, _) in enumerate(groups):
+            start = first - (text[first - 1 : first] == b"(")
+            start -= text[start - 1 : start] == b"+"
+            if text[start - 1 : start].isalnum():
+                if i == 0:
+                    continue
+                start = first
+            digits = 0
+            for j in range(i, len(groups)):
+                begin, end = groups[j]
+                digits += end - begin
+                if digits > most:
+                    break
+                if digits >= least and not text[end : end + 1].isalnum():
+                    yield start, end, digits
+
+
 def proposals(text: bytes) -> list[Span]:
-    """Spans that could be personal data; those of different families may overlap."""
+    """Spans that could be personal data; they may overlap."""
     found = []
     if AT.search(text):
         found += [("email_like", *m.span()) for m in ADDRESS.finditer(text)]
     found += [("ip_like", *m.span()) for m in NUMBERS.finditer(text) if stands_alone(text, m)]
-    for match in FIGURES.finditer(text):
-        if stands_alone(text, match):
-            digits = len(match[0].translate(None, NOT_FIGURES))
-            if 12 <= digits <= 20:
-                found.append(("card_like", *match.span()))
-            if 7 <= digits <= 16:
-                found.append(("phone_like", *match.span()))
+    for start, end, digits in figures(text):
+        for kind, (low, high) in DIGITS.items():
+            if low <= digits <= high:
+                found.append((kind, start, end))
     return found
 
 
@@ -162,8 +196,44 @@ def features(text: bytes, span: Span) -> list[float]:
     ]
 
 
-def meets(span: Span, others: list[Span]) -> bool:
-    return any(start < span[2] and span[1] < end for _, start, end in others)
+class _Known:
+    """The base spans of a kind in a text, which do not overlap, for quick search."""
+
+    def __init__(self, text: bytes, spans: list[Span]):
+        self.starts = [start for _, start, _ in spans]
+        self.stops = [stop for _, _, stop in spans]
+        self.figures = {(_first_figure(text, a), b) for _, a, b in spans}
+
+    def meet(self, span: Span) -> bool:
+        place = bisect_right(self.stops, span[1])
+        return place < len(self.starts) and self.starts[place] < span[2]
+
+    def cover(self, span: Span) -> bool:
+        place = bisect_left(self.stops, span[2])
+        return place < len(self.starts) and self.starts[place] <= span[1]
+
+
+def _first_figure(text: bytes, start: int) -> int:
+    while text[start : start + 1] in (b"+", b"("):
+        start += 1
+    return start
+
+
+def judged(text: bytes, base: list[Span]) -> Iterator[tuple[Span, bool, bool]]:
+    """Proposals, whether each is right, and whether it meets a base span of any kind.
+
+    Parts of a checked card or phone are left out: that is redacted as a whole, so they are
+    neither added nor examples or counterexamples.
+    """
+    known = {kind: _Known(text, [b for b in base if b[0] == kind]) for kind in BASE}
+    for span in proposals(text):
+        own = known[span[0].removesuffix("_like")]
+        right = own.meet(span)
+        if span[0] in DIGITS:
+            right = (_first_figure(text, span[1]), span[2]) in own.figures
+            if not right and own.cover(span):
+                continue
+        yield span, right, any(k.meet(span) for k in known.values())
 
 
 def _edges(text: bytes, spans: list[Span]) -> dict[int, int]:
@@ -210,8 +280,8 @@ _FOUND_DDL = (
 def look(text: bytes) -> dict:
     """Counts and digest of the base spans of a text, and its proposals."""
     base = base_spans(text)
-    offered = proposals(text)
-    place = _edges(text, base + offered)
+    offered = list(judged(text, base))
+    place = _edges(text, base + [span for span, *_ in offered])
     listed = ",".join(f"{kind}:{place[a]}:{place[b]}" for kind, a, b in base)
     kinds = [span[0] for span in base]
     return {f"n_{kind}": kinds.count(kind) for kind in BASE} | {
@@ -222,19 +292,76 @@ def look(text: bytes) -> dict:
                 "kind": span[0],
                 "start": place[span[1]],
                 "stop": place[span[2]],
-                "right": int(
-                    meets(span, [b for b in base if b[0] == span[0].removesuffix("_like")])
-                ),
-                "known": meets(span, base),
-                "features": features(text, span),
+                "right": int(right),
+                "known": known,
+                "features": np.array(features(text, span)),
             }
-            for span in offered
+            for span, right, known in offered
         ],
     }
 
 
 def _look_all(texts: pa.Array) -> pa.Array:
-    return pa.array([look(text) for text in texts.to_pylist()], _FOUND)
+    done, rows, gathered = [pa.array([], _FOUND)], [], 0
+    for text in texts:
+        rows.append(look(text.as_py()))
+        gathered += len(rows[-1]["proposed"])
+        if gathered >= AT_ONCE:
+            done.append(pa.array(rows, _FOUND))
+            rows, gathered = [], 0
+    return pa.concat_arrays([*done, pa.array(rows, _FOUND)])
+
+
+def _widest(level: list[dict]) -> list[dict]:
+    """Spans that do not overlap and cover the most; of equally good choices the evenest."""
+    level = sorted(level, key=lambda r: (r["stop"], r["start"], r["kind"]))
+    stops = [r["stop"] for r in level]
+    best, before = [(0, 0)], []
+    for i, rival in enumerate(level):
+        before.append(bisect_right(stops, rival["start"], 0, i))
+        width = rival["stop"] - rival["start"]
+        covered, uneven = best[before[i]]
+        best.append(max(best[i], (covered + width, uneven - width * width)))
+    taken, i = [], len(level)
+    while i:
+        if best[i] == best[i - 1]:
+            i -= 1
+        else:
+            taken.append(level[i - 1])
+            i = before[i - 1]
+    return taken
+
+
+def best_apart(rivals: list[dict]) -> list[dict]:
+    """Spans that do not overlap: the best by score, of equal scores those that cover the most."""
+    taken, starts, stops = [], [], []
+    for _, level in groupby(sorted(rivals, key=lambda r: -r["score"]), lambda r: r["score"]):
+        free = []
+        for rival in level:
+            place = bisect_right(stops, rival["start"])
+            if place == len(starts) or starts[place] >= rival["stop"]:
+                free.append(rival)
+        taken += _widest(free)
+        starts = sorted(r["start"] for r in taken)
+        stops = sorted(r["stop"] for r in taken)
+    return taken
+
+
+_RIVALS = pa.list_(
+    pa.struct(
+        [
+            ("score", pa.float64()),
+            ("start", pa.int64()),
+            ("stop", pa.int64()),
+            ("kind", pa.string()),
+        ]
+    )
+)
+_RIVALS_DDL = "array<struct<score:double,start:bigint,stop:bigint,kind:string>>"
+
+
+def _best_of_all(rows: pa.Array) -> pa.Array:
+    return pa.array([best_apart(row.as_py()) for row in rows], _RIVALS)
 
 
 def thresholds(
@@ -287,7 +414,8 @@ def selected(offered: DataFrame, key: str = "row") -> DataFrame | None:
 
     At most ``SAMPLE`` proposals of each family teach, drawn by a hash of ``key`` and their
     place. ``key`` tells rows apart however the table is dealt, so the draw does not depend on
-    partitions. All other proposals are scored and set the thresholds.
+    partitions. All other proposals are scored and set the thresholds. What is added of a row
+    does not overlap.
     """
     hashed = offered.withColumn("hash", F.xxhash64(key, "kind", "start", "stop"))
     drawn = F.broadcast(_drawn(hashed))
@@ -325,14 +453,20 @@ def selected(offered: DataFrame, key: str = "row") -> DataFrame | None:
     limit: Column = F.lit(None).cast("double")
     for kind, value in limits.items():
         limit = F.when(F.col("kind") == kind, F.lit(value)).otherwise(limit)
-    fresh = scored.filter("not known")
-    return fresh.filter(F.col("score") >= limit).select("row", "kind", "start", "stop")
+    fresh = scored.filter("not known").filter(F.col("score") >= limit)
+    best = F.arrow_udf(_best_of_all, _RIVALS_DDL).asNondeterministic()
+    return (
+        fresh.groupBy("row")
+        .agg(F.collect_list(F.struct("score", "start", "stop", "kind")).alias("rivals"))
+        .select("row", F.inline(best("rivals")))
+        .select("row", "kind", "start", "stop")
+    )
 
 
 def find_personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans: a row for each row of ``docs``.
 
-    Added spans meet no base span; they are listed after those. A null text is empty; rows that
+    Added spans meet no base span and no other; they are listed after those. A null text is empty; rows that
     repeat are found alike, and rows without an id are no exception. Where there is too little
     to learn from, as in an empty table, only base spans are found. Other columns are not read.
     What is kept between the steps is the proposals, a few numbers each.

@@ -137,12 +137,12 @@ def seen_by_thresholds(monkeypatch):
 
 
 def test_all_proposals_but_the_learnt_ones_set_the_thresholds(spark, monkeypatch):
-    monkeypatch.setattr(personal, "SAMPLE", 64)
+    monkeypatch.setattr(personal, "SAMPLE", 128)
     seen = seen_by_thresholds(monkeypatch)
-    docs, _ = learnable(spark, 600)
-    offered = sum(len(personal.proposals(r.text.encode())) for r in docs.collect())
+    docs, _ = learnable(spark)
+    offered = sum(len(personal.look(r.text.encode())["proposed"]) for r in docs.collect())
     personal.find_personal_data(docs).collect()
-    assert offered - 64 * len(personal.ADDED) <= seen[0][0] < offered
+    assert offered - 128 * len(personal.ADDED) <= seen[0][0] < offered
 
 
 def test_draw_does_not_depend_on_partitions(spark, monkeypatch):
@@ -152,14 +152,59 @@ def test_draw_does_not_depend_on_partitions(spark, monkeypatch):
         taught.append(sorted(map(str, data.select("kind", "right", "features").collect())))
         return real(trees, data)
 
-    monkeypatch.setattr(personal, "SAMPLE", 64)
+    monkeypatch.setattr(personal, "SAMPLE", 128)
     monkeypatch.setattr(personal.GBTClassifier, "fit", spy)
-    docs, _ = learnable(spark, 600)
+    docs, _ = learnable(spark)
     for dealt in (docs.coalesce(1), docs.repartition(7, "text")):
         personal.find_personal_data(dealt).collect()
     assert taught[0] and taught[0] == taught[1]
 
 
+def proposed(text, kind):
+    return [text[a:b] for k, a, b in personal.proposals(text.encode()) if k == kind]
+
+
+def test_numbers_side_by_side_are_proposed():
+    phones = ["414 555-1791", "(414) 555-1792", "414.555.1793"]
+    for text in (" ".join(phones[:2]), " ".join(phones), " - ".join(phones * 9)):
+        assert set(phones[: text.count("555")]) <= set(proposed(text, "phone_like"))
+    cards = ["4111 1111 1111 1111", "5500-0000-0000-0004"]
+    assert set(cards) <= set(proposed(" ".join(cards), "card_like"))
+    # glued to a letter only where the letter is; brackets in a row
+    assert proposed("x123 4567890 12", "phone_like") == ["4567890", "4567890 12"]
+    assert proposed("1(414) 555", "phone_like") == ["1(414) 555"]
+    # of any length, and linear in it
+    assert len(proposed("7 " * 20_000, "phone_like")) <= 10 * 20_000
+    assert proposed("7" * 5000, "phone_like") == []
+
+
+def test_best_apart():
+    rows = [(0.5, 0, 30), (0.9, 10, 20), (0.9, 12, 22), (0.7, 20, 25), (0.6, 0, 10), (0.6, 2, 12)]
+    rivals = [dict(score=s, start=a, stop=b, kind="card_like") for s, a, b in rows]
+    found = sorted((r["start"], r["stop"]) for r in personal.best_apart(rivals))
+    assert found == [(0, 10), (10, 20), (20, 25)]
+    # of equal scores, two side by side rather than one across both
+    rivals = [dict(score=0.9, start=a, stop=b, kind="x") for a, b in [(5, 30), (0, 19), (20, 39)]]
+    assert sorted(r["start"] for r in personal.best_apart(rivals)) == [0, 20]
+
+
+def card(chance, valid=True):
+    number = "4" + "".join(str(d) for d in chance.integers(0, 10, 14))
+    check = next(d for d in "0123456789" if luhn(number + d))
+    number += check if valid else str((int(check) + 5) % 10)
+    return " ".join(number[i : i + 4] for i in range(0, 16, 4))
+
+
+def test_cards_side_by_side_are_added(spark):
+    chance = np.random.default_rng(4)
+    texts = [f"{cases.prose(i, 4)} a {card(chance, i % 4 > 0)} b" for i in range(2000)]
+    pairs = [(card(chance), card(chance)) for _ in range(3)]
+    texts += [f"é a {one} {two} b" for one, two in pairs]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    rows = {r.doc_id: r.spans for r in personal.find_personal_data(docs).collect()}
+    assert [rows[2000 + i] for i in range(3)] == ["card_like:4:23,card_like:24:43"] * 3
+
+
 def test_thresholds_of_a_histogram():
     scores, right = np.array([0.9, 0.5, 0.1]), np.array([990, 99, 0])
     rows = np.array([1000, 100, 10])
