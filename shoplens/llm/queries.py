@@ -11,6 +11,7 @@ from shoplens.llm import (
     best_fit,
     decontaminate,
     length_buckets,
+    merkle_manifest,
     near_duplicates,
     personal_data,
     quality,
@@ -79,6 +80,11 @@ def op10_length_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return length_buckets.pack(pieces.drop("ids"))
 
 
+def op11_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf in the manifest and its proof."""
+    return merkle_manifest.prove(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
@@ -91,6 +97,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_secret_scan": op8_secret_scan,
         "op9_personal_data": op9_personal_data,
         "op10_length_buckets": op10_length_buckets,
+        "op11_octopus_manifest": op11_octopus_manifest,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -103,4 +110,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_repeats": repeats.SQL,
         "op7_warc_bundles": warc_bundles.SQL,
         "op8_secret_scan": secrets.SQL,
+        "op11_octopus_manifest": merkle_manifest.SQL,
     }

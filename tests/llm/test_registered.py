@@ -16,7 +16,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(TABLES), reason="driver tables
 @pytest.fixture(scope="module")
 def database():
     connection = duckdb.connect()
-    for name in ("documents", "benchmark", "pages"):
+    for name in ("documents", "benchmark", "pages", "embeddings"):
         connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{TABLES}/{name}.parquet'")
     return connection
 
@@ -34,7 +34,7 @@ def test_query_equals_sql(spark, database, name):
 
 def test_all_operators_are_registered():
     names = set(contract.queries())
-    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 11)} | {
+    assert {n.split("_")[0] for n in queries.queries()} == {f"op{i}" for i in range(1, 14)} | {
         "pipeline"
     }
     assert set(queries.queries()) <= names
