@@ -17,6 +17,7 @@ from shoplens.llm import (
     quality,
     repeats,
     secrets,
+    vector_codes,
     vector_shards,
     warc_bundles,
 )
@@ -85,6 +86,11 @@ def op11_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_manifest.prove(_table(spark, sf_dir, "documents"))
 
 
+def op12_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code and what it loses."""
+    return vector_codes.code_table(_table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
@@ -98,6 +104,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_personal_data": op9_personal_data,
         "op10_length_buckets": op10_length_buckets,
         "op11_octopus_manifest": op11_octopus_manifest,
+        "op12_resident_lloyd": op12_resident_lloyd,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -111,4 +118,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_warc_bundles": warc_bundles.SQL,
         "op8_secret_scan": secrets.SQL,
         "op11_octopus_manifest": merkle_manifest.SQL,
+        "op12_resident_lloyd": vector_codes.SQL,
     }
