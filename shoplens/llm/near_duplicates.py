@@ -121,7 +121,7 @@ def bands(values: np.ndarray) -> np.ndarray:
     return total.view(np.int64)
 
 
-def _set_key(found: np.ndarray) -> tuple[int, int]:
+def set_key(found: np.ndarray) -> tuple[int, int]:
     key = xxhash.xxh3_128_digest(found.tobytes())
     return int.from_bytes(key[:8], "little", signed=True), int.from_bytes(
         key[8:], "little", signed=True
@@ -151,7 +151,7 @@ def _sign(texts: pa.Array, shingle: int) -> pa.Array:
     for text in texts:
         found = shingles(text.as_py(), shingle)
         sizes.append(len(found))
-        keys.append(_set_key(found))
+        keys.append(set_key(found))
         waiting.append(found)
         gathered += len(found)
         if gathered >= AT_ONCE:
@@ -171,7 +171,7 @@ def _sign(texts: pa.Array, shingle: int) -> pa.Array:
 
 def _sets(texts: pa.Array, shingle: int) -> pa.Array:
     found = [shingles(text.as_py(), shingle) for text in texts]
-    keys = [_set_key(s) for s in found]
+    keys = [set_key(s) for s in found]
     return pa.StructArray.from_arrays(
         [
             pa.array([k[0] for k in keys], pa.int64()),

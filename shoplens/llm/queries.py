@@ -17,6 +17,7 @@ from shoplens.llm import (
     quality,
     repeats,
     secrets,
+    token_groups,
     vector_codes,
     vector_shards,
     warc_bundles,
@@ -91,6 +92,11 @@ def op12_resident_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_table(_table(spark, sf_dir, "embeddings"))
 
 
+def op13_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's class of similar documents."""
+    return token_groups.similarity_classes(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_quality_limits": op1_quality_limits,
@@ -105,6 +111,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_length_buckets": op10_length_buckets,
         "op11_octopus_manifest": op11_octopus_manifest,
         "op12_resident_lloyd": op12_resident_lloyd,
+        "op13_token_groups": op13_token_groups,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -119,4 +126,5 @@ def oracle_sql() -> dict[str, str]:
         "op8_secret_scan": secrets.SQL,
         "op11_octopus_manifest": merkle_manifest.SQL,
         "op12_resident_lloyd": vector_codes.SQL,
+        "op13_token_groups": token_groups.SQL,
     }
