@@ -11,18 +11,39 @@ def percentage(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(F.coalesce(F.try_divide(part, whole), F.lit(0.0)) * 100, digits)
 
 
-def exact_sum(amount: Column, scale: int = 6) -> Column:
-    """The sum of a double column as a decimal, the same whatever the order of adding.
+def _countable(amount: Column, scale: int) -> Column:
+    """Whether an amount fits a decimal with ``scale`` digits after the point; NaN does not."""
+    return F.abs(amount) < F.lit(10.0 ** (28 - scale))
 
-    Each amount counts with ``scale`` digits after the point and may have ``28 - scale`` before
-    it; a larger one is an error, as is one that is no number.
+
+def not_finite(amount: Column) -> Column:
+    """How many amounts are NaN or infinite."""
+    double = amount.cast("double")
+    return F.count_if(F.isnan(double) | (F.abs(double) == F.lit(float("inf"))))
+
+
+def exact_sum(amount: Column, scale: int = 6, digits: int | None = None) -> Column:
+    """The sum of a double column, the same whatever the order of adding; null for none.
+
+    Amounts are added as decimals with ``scale`` digits after the point, the sum rounded to
+    ``digits`` and given as a double. Amounts with more than ``28 - scale`` digits before the
+    point do not fit and are added as doubles to it. What is not finite decides as in any sum of
+    doubles: NaN if there is a NaN or infinities of both signs, else the infinity. See
+    ``not_finite`` for their number.
     """
-    return F.sum(amount.cast(f"decimal(28,{scale})"))
+    fits = _countable(amount.cast("double"), scale)
+    exact = F.sum(F.when(fits, amount).cast(f"decimal(28,{scale})"))
+    if digits is not None:
+        exact = F.round(exact, digits)
+    beyond = F.sum(F.when(~fits, amount.cast("double")))
+    return F.when(beyond.isNull(), exact.cast("double")).otherwise(
+        beyond + F.coalesce(exact.cast("double"), F.lit(0.0))
+    )
 
 
 def exact_average(amount: Column, scale: int = 6) -> Column:
     """``exact_sum`` over the number of amounts, as a double; null for none."""
-    return F.try_divide(exact_sum(amount, scale).cast("double"), F.count(amount))
+    return F.try_divide(exact_sum(amount, scale), F.count(amount))
 
 
 def amount_text(amount: Column, currency: str | None = None) -> Column:

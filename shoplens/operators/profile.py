@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from shoplens.functions import exact_average, exact_sum, percentage
+from shoplens.functions import exact_average, exact_sum, not_finite, percentage
 
 
 def named(column: str) -> Column:
@@ -67,9 +67,12 @@ def numeric_stats(
     by: Sequence[str] = (),
     digits: int = 2,
     scale: int = 6,
+    odd: bool = False,
 ) -> DataFrame:
     """count, sum, min, max and avg of each column as ``<column>_<statistic>``.
 
+    With ``odd`` also how many values are NaN or infinite; see ``exact_sum`` for their effect.
+
     The count leaves nulls out. Values are added as decimals with ``scale`` digits after the
     point, so sums and averages do not depend on the order in which tasks add; both are rounded
     to ``digits`` and given as doubles.
@@ -79,11 +82,13 @@ def numeric_stats(
         value = named(column)
         stats += [
             F.count(value).alias(f"{column}_count"),
-            F.round(exact_sum(value, scale), digits).cast("double").alias(f"{column}_sum"),
+            exact_sum(value, scale, digits).alias(f"{column}_sum"),
             F.min(value).alias(f"{column}_min"),
             F.max(value).alias(f"{column}_max"),
             F.round(exact_average(value, scale), digits).alias(f"{column}_avg"),
         ]
+        if odd:
+            stats.append(not_finite(value).alias(f"{column}_odd"))
     return table.groupBy(*[named(key) for key in by]).agg(*stats)
 
 
@@ -103,7 +108,7 @@ def top_groups(
     """
     whole = isinstance(table.schema[value].dataType, IntegralType)
     amount = named(value)
-    total = F.sum(amount) if whole else F.round(exact_sum(amount, scale), digits).cast("double")
+    total = F.sum(amount) if whole else exact_sum(amount, scale, digits)
     summed = table.groupBy(named(key)).agg(total.alias(name))
     return summed.orderBy(named(name).desc(), named(key)).limit(k)
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.functions import amount_text, exact_average, exact_sum
+from shoplens.operators.kept import Totals
 from shoplens.operators.traffic import is_client_error, is_server_error
 
 
@@ -39,7 +40,7 @@ def ecommerce_summary(
     text = F.col("n").cast("string")
     order_figures = orders.agg(
         rows,
-        exact_sum(F.col("totalAmount")).cast("double").alias("revenue"),
+        exact_sum(F.col("totalAmount")).alias("revenue"),
         exact_average(F.col("totalAmount")).alias("average"),
     )
     return (
@@ -59,17 +60,17 @@ def ecommerce_summary(
 
 
 def log_summary_of_totals(
-    by_hour: DataFrame, by_page: DataFrame, by_ip: DataFrame
+    by_hour: Totals, by_page: Totals, by_ip: Totals
 ) -> DataFrame:
     """``log_summary`` from kept totals, without another pass over the requests."""
     requests = F.coalesce(F.sum("requests"), F.lit(0))
     client = F.coalesce(F.sum(F.when(is_client_error(), F.col("requests"))), F.lit(0))
     server = F.coalesce(F.sum(F.when(is_server_error(), F.col("requests"))), F.lit(0))
-    counted = by_hour.agg(
+    counted = by_hour.table.agg(
         requests.alias("requests"), client.alias("client"), server.alias("server")
     )
-    ips = by_ip.agg(F.count("ip").alias("n"))
-    pages = by_page.select("endpoint").distinct().agg(F.count("endpoint").alias("n"))
+    ips = by_ip.table.agg(F.count("ip").alias("n"))
+    pages = by_page.table.select("endpoint").distinct().agg(F.count("endpoint").alias("n"))
     return (
         metric_rows(
             counted,

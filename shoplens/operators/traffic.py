@@ -10,11 +10,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shoplens.functions import percentage
+from shoplens.operators.kept import Totals
 
 
-def _as_totals(logs: DataFrame) -> DataFrame:
-    if "requests" in logs.columns:
-        return logs
+class RequestTotals(Totals):
+    """Requests added up over some keys, as ``totals`` gives them."""
+
+
+Requests = DataFrame | RequestTotals
+
+
+def _as_totals(logs: Requests) -> DataFrame:
+    """A table of totals; what kind of table it is, its type says, not its columns."""
+    if isinstance(logs, RequestTotals):
+        return logs.table
     latency = F.col("response_time_ms")
     return logs.withColumns(
         {
@@ -28,27 +37,31 @@ def _as_totals(logs: DataFrame) -> DataFrame:
     )
 
 
-def totals(logs: DataFrame, *keys: str) -> DataFrame:
+def totals(logs: Requests, *keys: str) -> RequestTotals:
     """Number, sum and extremes of latency per combination of ``keys``.
 
     ``keys`` are columns of requests, or ``hour``. Worth persisting where several analyses need
     no other column. Latencies are whole milliseconds, so sums and averages stay exact.
     """
-    return _as_totals(logs).groupBy(*keys).agg(
-        _requests().alias("requests"),
-        F.sum("timed").alias("timed"),
-        F.sum("total_ms").alias("total_ms"),
-        F.min("min_ms").alias("min_ms"),
-        F.max("max_ms").alias("max_ms"),
+    return RequestTotals(
+        _as_totals(logs)
+        .groupBy(*keys)
+        .agg(
+            _requests().alias("requests"),
+            F.sum("timed").alias("timed"),
+            F.sum("total_ms").alias("total_ms"),
+            F.min("min_ms").alias("min_ms"),
+            F.max("max_ms").alias("max_ms"),
+        )
     )
 
 
-def hour_totals(logs: DataFrame) -> DataFrame:
+def hour_totals(logs: Requests) -> RequestTotals:
     """Totals per hour of the day, status and method."""
     return totals(logs, "hour", "status", "method")
 
 
-def page_totals(logs: DataFrame) -> DataFrame:
+def page_totals(logs: Requests) -> RequestTotals:
     """Totals per endpoint and status."""
     return totals(logs, "endpoint", "status")
 
@@ -63,29 +76,29 @@ def _average() -> Column:
     return F.try_divide(F.sum("total_ms"), F.sum("timed"))
 
 
-def _distribution(logs: DataFrame, *keys: str, top: int | None = None) -> DataFrame:
+def _distribution(logs: Requests, *keys: str, top: int | None = None) -> DataFrame:
     """Requests per combination of ``keys``, most frequent first, ties by key."""
     counted = _as_totals(logs).groupBy(*keys).agg(_requests().alias("count"))
     ordered = counted.orderBy(F.desc("count"), *keys)
     return ordered if top is None else ordered.limit(top)
 
 
-def status_distribution(logs: DataFrame) -> DataFrame:
+def status_distribution(logs: Requests) -> DataFrame:
     return _distribution(logs, "status")
 
 
-def method_distribution(logs: DataFrame) -> DataFrame:
+def method_distribution(logs: Requests) -> DataFrame:
     return _distribution(logs, "method")
 
 
-def _by_endpoint(logs: DataFrame, count: str) -> DataFrame:
+def _by_endpoint(logs: Requests, count: str) -> DataFrame:
     """(endpoint, count, avg_latency_ms) with averages not rounded."""
     return _as_totals(logs).groupBy("endpoint").agg(
         _requests().alias(count), _average().alias("avg_latency_ms")
     )
 
 
-def top_endpoints(logs: DataFrame, k: int = 10) -> DataFrame:
+def top_endpoints(logs: Requests, k: int = 10) -> DataFrame:
     return _distribution(logs, "endpoint", top=k)
 
 
@@ -101,7 +114,7 @@ def is_server_error() -> Column:
     return F.col("status") >= 500
 
 
-def error_counts(logs: DataFrame) -> DataFrame:
+def error_counts(logs: Requests) -> DataFrame:
     """One row; ``total_errors`` ends below 600, ``errors_5xx`` does not."""
     status = F.col("status")
     return _as_totals(logs).agg(
@@ -111,11 +124,11 @@ def error_counts(logs: DataFrame) -> DataFrame:
     )
 
 
-def top_404_pages(logs: DataFrame, k: int = 10) -> DataFrame:
+def top_404_pages(logs: Requests, k: int = 10) -> DataFrame:
     return _distribution(logs.where(F.col("status") == 404), "endpoint", top=k)
 
 
-def pages_5xx(logs: DataFrame, k: int | None = None) -> DataFrame:
+def pages_5xx(logs: Requests, k: int | None = None) -> DataFrame:
     """All pages that answered with a server error, or the ``k`` with the most."""
     return _distribution(logs.where(is_server_error()), "endpoint", "status", top=k)
 
@@ -123,7 +136,7 @@ def pages_5xx(logs: DataFrame, k: int | None = None) -> DataFrame:
 # ---- latency ----------------------------------------------------------------
 
 
-def latency_summary(logs: DataFrame) -> DataFrame:
+def latency_summary(logs: Requests) -> DataFrame:
     return _as_totals(logs).agg(
         F.coalesce(F.sum("timed"), F.lit(0)).alias("count"),
         F.min("min_ms").alias("min"),
@@ -136,7 +149,7 @@ def _rounded_latency(table: DataFrame) -> DataFrame:
     return table.withColumn("avg_latency_ms", F.round("avg_latency_ms", 2))
 
 
-def slowest_endpoints(logs: DataFrame, min_requests: int = 10, k: int = 10) -> DataFrame:
+def slowest_endpoints(logs: Requests, min_requests: int = 10, k: int = 10) -> DataFrame:
     """The ``k`` endpoints slowest on average, of those with more than ``min_requests``."""
     slowest = (
         _by_endpoint(logs, "request_count")
@@ -153,7 +166,7 @@ def slowest_requests(logs: DataFrame, k: int = 10) -> DataFrame:
     ).limit(k)
 
 
-def slow_endpoints(logs: DataFrame, min_hits: int = 10, min_avg_ms: float = 2000) -> DataFrame:
+def slow_endpoints(logs: Requests, min_hits: int = 10, min_avg_ms: float = 2000) -> DataFrame:
     """Endpoints with more than ``min_hits`` and an unrounded average above the cut."""
     slow = _by_endpoint(logs, "hit_count").where(
         (F.col("hit_count") > min_hits) & (F.col("avg_latency_ms") > min_avg_ms)
@@ -162,14 +175,14 @@ def slow_endpoints(logs: DataFrame, min_hits: int = 10, min_avg_ms: float = 2000
 
 
 def slow_endpoint_status_latency(
-    logs: DataFrame, min_hits: int = 10, min_avg_ms: float = 2000
+    logs: Requests, min_hits: int = 10, min_avg_ms: float = 2000
 ) -> DataFrame:
     """Average latency per status of the endpoints ``slow_endpoints`` finds.
 
     The requests are read once: they are added up per endpoint and status, and
     the endpoint totals that decide come from those sums.
     """
-    by_status = page_totals(logs)
+    by_status = page_totals(logs).table
     endpoint = Window.partitionBy("endpoint")
     rated = by_status.select(
         "endpoint",
@@ -192,32 +205,32 @@ def slow_endpoint_status_latency(
 # ---- hours ------------------------------------------------------------------
 
 
-def traffic_by_hour(logs: DataFrame) -> DataFrame:
+def traffic_by_hour(logs: Requests) -> DataFrame:
     """Requests per hour of the day; lines with an impossible time form a null hour."""
     return _hourly(logs).orderBy("hour")
 
 
-def _hourly(logs: DataFrame) -> DataFrame:
+def _hourly(logs: Requests) -> DataFrame:
     return _as_totals(logs).groupBy("hour").agg(_requests().alias("count"))
 
 
-def _hourly_share(logs: DataFrame) -> DataFrame:
+def _hourly_share(logs: Requests) -> DataFrame:
     # The window holds the 24 hours and null, 25 rows however many requests.
     total = F.sum("count").over(Window.partitionBy())
     return _hourly(logs).withColumn("percentage", percentage(F.col("count"), total))
 
 
-def traffic_share(logs: DataFrame) -> DataFrame:
+def traffic_share(logs: Requests) -> DataFrame:
     """Requests per hour and their share of all requests."""
     return _hourly_share(logs).orderBy("hour")
 
 
-def peak_hour(logs: DataFrame) -> DataFrame:
+def peak_hour(logs: Requests) -> DataFrame:
     """The busiest hour, the earliest one on a tie; no row for no requests."""
     return _hourly_share(logs).orderBy(F.desc("count"), "hour").limit(1)
 
 
-def latency_by_hour(logs: DataFrame) -> DataFrame:
+def latency_by_hour(logs: Requests) -> DataFrame:
     hourly = _as_totals(logs).groupBy("hour").agg(
         _average().alias("avg_latency_ms"), _requests().alias("total_requests")
     )

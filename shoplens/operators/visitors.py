@@ -9,30 +9,38 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import TimestampType
 
 from shoplens.functions import percentage
+from shoplens.operators.kept import Totals
 from shoplens.operators.reports import metric_rows
 
 
-def ip_totals(logs: DataFrame) -> DataFrame:
-    """(ip, request_count, requests_404); several analyses start from this table.
+class AddressTotals(Totals):
+    """(ip, request_count, requests_404), as ``ip_totals`` gives them."""
 
-    Persist it before running more than one of them on the same logs: Spark then
-    uses the kept table wherever an analysis asks for it.
+
+def ip_totals(logs: DataFrame | AddressTotals) -> AddressTotals:
+    """Requests of each address; several analyses start from this table and take it for logs.
+
+    Persist it before running more than one of them on the same logs.
     """
-    return logs.groupBy("ip").agg(
-        F.count(F.lit(1)).alias("request_count"),
-        F.count_if(F.col("status") == 404).alias("requests_404"),
+    if isinstance(logs, AddressTotals):
+        return logs
+    return AddressTotals(
+        logs.groupBy("ip").agg(
+            F.count(F.lit(1)).alias("request_count"),
+            F.count_if(F.col("status") == 404).alias("requests_404"),
+        )
     )
 
 
-def requests_per_ip(logs: DataFrame) -> DataFrame:
-    return ip_totals(logs).select("ip", "request_count")
+def requests_per_ip(logs: DataFrame | AddressTotals) -> DataFrame:
+    return ip_totals(logs).table.select("ip", "request_count")
 
 
-def top_ips(logs: DataFrame, k: int = 10) -> DataFrame:
+def top_ips(logs: DataFrame | AddressTotals, k: int = 10) -> DataFrame:
     return requests_per_ip(logs).orderBy(F.desc("request_count"), "ip").limit(k)
 
 
-def requests_per_ip_stats(logs: DataFrame) -> DataFrame:
+def requests_per_ip_stats(logs: DataFrame | AddressTotals) -> DataFrame:
     requests = F.col("request_count")
     return requests_per_ip(logs).agg(
         F.count(requests).alias("count"),
@@ -43,7 +51,7 @@ def requests_per_ip_stats(logs: DataFrame) -> DataFrame:
     )
 
 
-def bot_ips(logs: DataFrame, threshold: int = 100) -> DataFrame:
+def bot_ips(logs: DataFrame | AddressTotals, threshold: int = 100) -> DataFrame:
     return (
         requests_per_ip(logs)
         .where(F.col("request_count") > threshold)
@@ -51,10 +59,10 @@ def bot_ips(logs: DataFrame, threshold: int = 100) -> DataFrame:
     )
 
 
-def bounce_rate(logs: DataFrame, per: Column | None = None) -> DataFrame:
+def bounce_rate(logs: DataFrame | AddressTotals, per: Column | None = None) -> DataFrame:
     """(unique_ips, bounced_ips, bounce_rate): addresses with exactly one request.
 
-    With ``per``, such as a day, one such row for each of its values.
+    With ``per``, such as a day, one such row for each of its values; that takes requests.
     """
     if per is None:
         visits, period = requests_per_ip(logs), []
@@ -122,11 +130,11 @@ def abusive_ips(logs: DataFrame, window: str = "1 minute", threshold: int = 50)
     )
 
 
-def high_404_ips(logs: DataFrame, min_requests: int = 10, rate: float = 50) -> DataFrame:
+def high_404_ips(logs: DataFrame | AddressTotals, min_requests: int = 10, rate: float = 50) -> DataFrame:
     """Addresses whose share of 404 answers, rounded, is above ``rate`` percent."""
     rated = (
         ip_totals(logs)
-        .withColumnRenamed("request_count", "total_requests")
+        .table.withColumnRenamed("request_count", "total_requests")
         .withColumn("rate_404", percentage(F.col("requests_404"), F.col("total_requests")))
     )
     return rated.where(

@@ -23,7 +23,7 @@ from shoplens.operators import (
     visitors,
     weblogs,
 )
-from shoplens.sources import bindings
+from shoplens.sources import bindings, column_types
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -88,6 +88,8 @@ ANALYSES: dict[str, Callable[[Tables], DataFrame]] = {
     "duplicate_keys_orders": lambda t: profile.duplicate_keys(t.orders, "customerNumber"),
     "distinct_status": lambda t: profile.distinct_values(t.orders, "status"),
     "distinct_payment": lambda t: profile.distinct_values(t.orders, "paymentMethod"),
+    "column_types_orders": lambda t: column_types(t.orders),
+    "column_types_logs": lambda t: column_types(t.logs.drop("timestamp")),
     # shop
     "customers_by_segment": lambda t: shop.customers_by_segment(t.customers),
     "top_countries": lambda t: shop.top_countries(t.located_customers),

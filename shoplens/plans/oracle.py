@@ -57,7 +57,50 @@ FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 """,
 }
 
+_KIND = r"""CASE WHEN v IS NULL OR v = '' THEN 0
+  WHEN regexp_full_match(v, '[+-]?[0-9]{1,40}') THEN CASE
+    WHEN TRY_CAST(v AS INTEGER) IS NOT NULL THEN 1 WHEN TRY_CAST(v AS BIGINT) IS NOT NULL THEN 2 ELSE 4 END
+  WHEN regexp_full_match(v, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?')
+    OR v IN ('NaN', 'Infinity', '-Infinity') THEN 4
+  WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}') AND TRY_CAST(v AS DATE) IS NOT NULL THEN 8
+  WHEN regexp_full_match(v, '[0-9]{4}-[0-9]{2}-[0-9]{2}[T ][0-9]{2}:[0-9]{2}:[0-9]{2}([.][0-9]{1,6})?')
+    AND TRY_CAST(v AS TIMESTAMP) IS NOT NULL THEN 16
+  WHEN lower(v) IN ('true', 'false') THEN 32 ELSE 64 END"""
+
+
+def _types(view: str, columns: list[str]) -> str:
+    """The types that the text of some columns allows, a column at a time."""
+    each = [
+        f"""SELECT {at} AS position, '{name}' AS "column", coalesce(bit_or(k), 0) AS k,
+  count(*) FILTER (k <> 0) AS n_values
+FROM (SELECT {_KIND} AS k FROM (SELECT CAST("{name}" AS VARCHAR) AS v FROM {view}))"""
+        for at, name in enumerate(columns)
+    ]
+    return f"""
+SELECT position, "column", n_values, CASE WHEN k = 0 THEN 'string' WHEN k = 1 THEN 'int'
+  WHEN k IN (2, 3) THEN 'bigint' WHEN k < 8 THEN 'double' WHEN k = 8 THEN 'date'
+  WHEN k IN (16, 24) THEN 'timestamp' WHEN k = 32 THEN 'boolean' ELSE 'string' END AS type
+FROM ({" UNION ALL ".join(each)})
+"""
+
+
 _QUERIES = {
+    "column_types_orders": _types(
+        "ec_orders",
+        [
+            "orderNumber",
+            "orderDate",
+            "requiredDate",
+            "status",
+            "customerNumber",
+            "totalAmount",
+            "paymentMethod",
+        ],
+    ),
+    "column_types_logs": _types(
+        "web_logs",
+        ["ip", "method", "endpoint", "status", "response_time_ms", "parsed_timestamp"],
+    ),
     "row_counts": r"""
 SELECT 'customers' AS table_name, count(*) AS row_count FROM ec_customers
 UNION ALL SELECT 'products', count(*) FROM ec_products

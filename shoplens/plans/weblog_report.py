@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,9 +17,9 @@ from shoplens.sources import read_lines
 class KeptTotals:
     """Totals of the requests from which most analyses follow."""
 
-    by_hour: DataFrame
-    by_page: DataFrame
-    by_ip: DataFrame
+    by_hour: traffic.RequestTotals
+    by_page: traffic.RequestTotals
+    by_ip: visitors.AddressTotals
 
     @classmethod
     def of(cls, logs: DataFrame) -> KeptTotals:
@@ -28,7 +27,7 @@ class KeptTotals:
 
     def persist(self) -> None:
         for table in (self.by_hour, self.by_page, self.by_ip):
-            table.persist(StorageLevel.MEMORY_AND_DISK)
+            table.persist()
 
     def unpersist(self) -> None:
         for table in (self.by_hour, self.by_page, self.by_ip):
@@ -48,9 +47,9 @@ def log_figures(logs: DataFrame, kept: KeptTotals) -> dict[str, DataFrame]:
         "traffic_share_by_hour": traffic.traffic_share(kept.by_hour),
         "peak_hour": traffic.peak_hour(kept.by_hour),
         "latency_by_hour": traffic.latency_by_hour(kept.by_hour),
-        "top_ips": visitors.top_ips(logs),
-        "requests_per_ip_stats": visitors.requests_per_ip_stats(logs),
-        "bounce_rate": visitors.bounce_rate(logs),
+        "top_ips": visitors.top_ips(kept.by_ip),
+        "requests_per_ip_stats": visitors.requests_per_ip_stats(kept.by_ip),
+        "bounce_rate": visitors.bounce_rate(kept.by_ip),
         "funnel": visitors.funnel(logs),
         "log_summary": reports.log_summary_of_totals(kept.by_hour, kept.by_page, kept.by_ip),
     }
@@ -62,9 +61,9 @@ def log_findings(logs: DataFrame, kept: KeptTotals) -> dict[str, DataFrame]:
         "status_distribution": traffic.status_distribution(kept.by_hour),
         "method_distribution": traffic.method_distribution(kept.by_hour),
         "pages_5xx": traffic.pages_5xx(kept.by_page),
-        "bot_ips": visitors.bot_ips(logs),
+        "bot_ips": visitors.bot_ips(kept.by_ip),
         "abusive_ips_per_minute": visitors.abusive_ips(logs),
-        "high_404_ips": visitors.high_404_ips(logs),
+        "high_404_ips": visitors.high_404_ips(kept.by_ip),
         "slow_endpoints": traffic.slow_endpoints(kept.by_page),
         "slow_endpoint_status_latency": traffic.slow_endpoint_status_latency(kept.by_page),
     }
@@ -93,8 +92,8 @@ def run_weblog_report(spark: SparkSession, lines_path: str, output: str) -> list
 
     ``output`` must be storage that all machines share: the requests are written there and
     read again. They are read six times, each time some columns: for totals per hour, page and
-    address, which are kept and from which most analyses follow (those of addresses find the
-    kept table by its plan), and for the slowest requests, the funnel and the abusive addresses.
+    address, which are kept and from which most analyses follow, and for the slowest requests,
+    the funnel and the abusive addresses.
     """
     dataset = f"{output}/processed_logs"
     quality = save_parsed(read_lines(spark, lines_path), dataset)

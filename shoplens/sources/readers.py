@@ -21,7 +21,8 @@ def read_table(
 
     The schema's names win over those in the files. Values that do not fit
     their type become null. One file splits over many tasks, so quoted values
-    must not contain line breaks.
+    must not contain line breaks; ``read_table_of_records`` reads those that do, and
+    ``infer_schema`` finds a schema.
     """
     return (
         spark.read.schema(schema)
