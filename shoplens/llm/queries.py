@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-import corpus_pipeline
 from shoplens.llm import (
     best_fit,
     decontaminate,
@@ -14,6 +13,7 @@ from shoplens.llm import (
     merkle_manifest,
     near_duplicates,
     personal_data,
+    pipeline,
     quality,
     repeats,
     secrets,
@@ -112,7 +112,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op11_octopus_manifest": op11_octopus_manifest,
         "op12_resident_lloyd": op12_resident_lloyd,
         "op13_token_groups": op13_token_groups,
-        "pipeline": corpus_pipeline.run,
+        "pipeline": pipeline.run,
     }
 
 
