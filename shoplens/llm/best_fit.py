@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import text_bytes
-from shoplens.llm.tokens import vocabulary_path, word_tokens
+from shoplens.llm.tokens import closed, vocabulary_path, word_tokens
 
 #: Tokens of a row of a matrix, the id that ends a document, and the id that fills a row.
 CAPACITY = 2048
@@ -97,13 +97,15 @@ _ROWS_DDL = (
 def _token_ids(path: str, end: int):
     def token_ids(texts: pa.Array) -> pa.Array:
         tokens = word_tokens(path)
-        close = end.to_bytes(4, "little")
         narrow = max(tokens.tokenizer.get_vocab_size(), end + 1) <= 1 << 16
-        found = []
-        for raw in tokens.encode(texts.to_pylist()):
-            ids = np.frombuffer(raw + close, "<u4")
-            found.append(ids.astype("<u2").tobytes() if narrow else ids.tobytes())
-        return pa.array(found, pa.binary())
+        kind = np.dtype("<u2" if narrow else "<u4")
+        found = [pa.array([], pa.binary())]
+        for coded in tokens.encode_columns(texts):
+            ids, sizes = closed(*coded, end)
+            edges = np.concatenate([[0], np.cumsum(sizes)]) * kind.itemsize
+            data = [None, pa.py_buffer(edges.astype(np.int32)), pa.py_buffer(ids.astype(kind))]
+            found.append(pa.Array.from_buffers(pa.binary(), len(sizes), data))
+        return pa.concat_arrays(found)
 
     return F.arrow_udf(token_ids, "binary").asNondeterministic()
 
@@ -166,15 +168,15 @@ def pack(
     filled with ``pad``, and their places, which begin anew at 0 at each of ``cu_seqlens``, the
     ends of the pieces from 0 on. The crc is of the ids without filling.
 
-    Documents are dealt by hash of id and text into blocks, matrices of their own; best fit goes
+    Documents are dealt by a hash of their place into blocks, matrices of their own; best fit goes
     over the pieces of a block, longest first. The number of blocks follows the number of rows,
-    so a block stays as large as it is when the table grows. A null or empty text is one
+    so a block stays as large as it is when the table grows, also if one row repeats. A null or empty text is one
     ``end``; rows that repeat, or have no id, each count; an empty table gives no rows. Other
     columns are not read. Texts are encoded once, and the ids move once.
     """
     path = vocabulary or vocabulary_path()
     blocks = max(1, -(-docs.count() // BLOCK_DOCUMENTS))
-    block = F.pmod(F.xxhash64(F.col(id), F.col(text)), F.lit(blocks))
+    block = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks))
     encoded = docs.select(
         F.col(id).cast("long").alias("doc_id"),
         block.alias("block"),

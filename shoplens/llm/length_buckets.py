@@ -4,19 +4,20 @@ from __future__ import annotations
 
 import zlib
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoplens.llm.common import settle, text_bytes
-from shoplens.llm.tokens import vocabulary_path, word_tokens
+from shoplens.llm.common import settle, small_side, text_bytes
+from shoplens.llm.tokens import closed, vocabulary_path, word_tokens
 
 #: Tokens of the longest sequence; a power of two.
 CAPACITY = 2048
 #: Id put after the last token of each document.
 END = 1
-#: Parts in which the sequences of a bucket are numbered.
-BLOCKS = 1024
+#: Pieces whose sequences are numbered together, about.
+BLOCK_PIECES = 1 << 14
 
 _PIECES = pa.list_(
     pa.struct(
@@ -50,28 +51,32 @@ def decompose(total: int, capacity: int) -> list[tuple[int, int]]:
 
 
 def _pieces(path: str, capacity: int, end: int, with_ids: bool):
-    close = end.to_bytes(4, "little")
+    def pieces_of(ids: np.ndarray, totals: np.ndarray) -> pa.Array:
+        raw = memoryview(ids.astype("<u4").tobytes())
+        starts, lengths, crcs, whole, ends, at = [], [], [], [], [0], 0
+        for total in totals.tolist():
+            for start, length in decompose(total, capacity):
+                starts.append(start)
+                lengths.append(length)
+                crcs.append(zlib.crc32(raw[4 * at : 4 * (at + length)]))
+                whole.append(total)
+                at += length
+            ends.append(len(starts))
+        if with_ids:  # pieces follow each other as the ids do
+            cuts = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)
+            tokens = pa.ListArray.from_arrays(pa.array(cuts), pa.array(ids.astype(np.int32)))
+        else:
+            tokens = pa.nulls(len(starts), pa.list_(pa.int32()))
+        columns = [pa.array(c, pa.int64()) for c in (starts, lengths, crcs, whole)]
+        return pa.ListArray.from_arrays(
+            pa.array(ends, pa.int32()),
+            pa.StructArray.from_arrays([*columns, tokens], fields=list(_PIECES.value_type)),
+        )
 
     def pieces(texts: pa.Array) -> pa.Array:
         tokens = word_tokens(path)
-        out = []
-        for ids in tokens.encode(texts.to_pylist()):
-            ids += close
-            total = len(ids) // 4
-            found = []
-            for start, length in decompose(total, capacity):
-                raw = ids[4 * start : 4 * (start + length)]
-                found.append(
-                    {
-                        "start": start,
-                        "length": length,
-                        "ids_crc32": zlib.crc32(raw),
-                        "doc_tokens": total,
-                        "ids": memoryview(raw).cast("i").tolist() if with_ids else None,
-                    }
-                )
-            out.append(found)
-        return pa.array(out, _PIECES)
+        found = [pieces_of(*closed(*c, end)) for c in tokens.encode_columns(texts)]
+        return pa.concat_arrays([pa.array([], _PIECES), *(f.cast(_PIECES) for f in found)])
 
     return F.arrow_udf(pieces, _PIECES_DDL).asNondeterministic()
 
@@ -106,15 +111,18 @@ def pack(pieces: DataFrame) -> DataFrame:
 
     Each piece is a sequence: all of a bucket are equally long, so a batch of them needs no
     padding, and attention never crosses documents. Sequences are numbered from 0 without gaps,
-    the shortest bucket first. A bucket is numbered in ``BLOCKS`` blocks by hash of the id, so
-    that no task holds a whole one; what is broadcast is one count for each bucket and block,
-    at most 64 * ``BLOCKS`` rows. An empty table gives an empty one.
+    the shortest bucket first. A bucket is numbered in blocks by a hash of the place of a piece, so
+    that rows that repeat or have no id are dealt like all others; their number follows the
+    number of pieces, and there is a count for each bucket and block. An empty table gives an
+    empty one.
     """
     own = settle(
         pieces.withColumn("bucket", F.log2("length").cast("int")).withColumn(
-            "block", F.pmod(F.xxhash64("doc_id"), F.lit(BLOCKS))
+            "place", F.monotonically_increasing_id()
         )
     )
+    blocks = max(1, -(-own.count() // BLOCK_PIECES))
+    own = own.withColumn("block", F.pmod(F.xxhash64("place"), F.lit(blocks)))
     before = Window.orderBy("bucket", "block").rowsBetween(Window.unboundedPreceding, -1)
     begins = (
         own.groupBy("bucket", "block")
@@ -125,8 +133,8 @@ def pack(pieces: DataFrame) -> DataFrame:
         Window.partitionBy("bucket", "block").orderBy("doc_id", "start", "ids_crc32")
     )
     return (
-        own.join(F.broadcast(begins), ["bucket", "block"])
+        own.join(small_side(settle(begins)), ["bucket", "block"])
         .withColumn("sequence_id", F.col("begin") + rank - 1)
         .withColumn("offset", F.lit(0).cast("long"))
-        .drop("block", "begin")
+        .drop("block", "begin", "place")
     )

@@ -48,6 +48,36 @@ def test_the_memo_is_bounded(monkeypatch):
     assert len(coder.parts) <= 50
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_any_vocabulary(name):
+    path = vocabulary_path(name)
+    tokenizer = Tokenizer.from_file(path)
+    texts = [*ODD_WORDS, *(t or "" for _, t in cases.odd_texts())]
+    found = list(word_tokens(path).encode([t.encode() for t in texts]))
+    assert found == [raw(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+
+
+def test_text_that_is_no_utf8():
+    whole = "a \ufffd b"
+    assert list(word_tokens(vocabulary_path()).encode([b"a \xff b", None])) == [
+        raw(ids_of(whole)[:-1]),
+        b"",
+    ]
+
+
+def test_rows_that_repeat_are_dealt_to_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(best_fit, "BLOCK_DOCUMENTS", 20)
+    monkeypatch.setattr(length_buckets, "BLOCK_PIECES", 20)
+    docs = cases.documents(spark, [(None, "one two three four five")] * 200)
+    packed = best_fit.pack(docs, capacity=32)
+    rows = packed.select("block", "doc_ids", "starts").collect()
+    assert len({r.block for r in rows}) == 10
+    assert sum(len(r.doc_ids) for r in rows) == 200
+    pieces = length_buckets.pack(length_buckets.cut_documents(docs))
+    found = sorted(r.sequence_id for r in pieces.collect())
+    assert found == list(range(len(found))) and len(found) >= 200
+
+
 def test_power_of_two_pieces(spark):
     pieces = length_buckets.cut_documents(cases.documents(spark))
     packed = length_buckets.pack(pieces).collect()
