@@ -27,8 +27,8 @@ MAX_REPEATED_PERCENT = 20
 
 #: Leading binary digits that the sketch keeps of a value.
 DIGITS = 8
-#: Documents that a language and source need for limits of their own.
-MIN_GROUP = 200
+#: Documents of the wider group that count with those of a language and source, or of a language.
+PRIOR = 20
 #: Distances between the quartiles that a limit lies above the upper or below the lower quartile.
 REACH = 4
 
@@ -44,8 +44,8 @@ COUNTS = (
 _COUNTS = pa.struct([(name, pa.int64()) for name in COUNTS])
 _COUNTS_DDL = "struct<" + ",".join(f"{name}:bigint" for name in COUNTS) + ">"
 
-#: measure -> numerator, denominator, factor that makes it a whole number, least distance
-#: between the quartiles that is assumed, whether there is a lower limit, too
+#: measure -> numerator, denominator, factor that makes it a whole number, spread of a group whose
+#: quartiles are equal, whether there is a lower limit, too
 MEASURES = {
     "symbol_share": ("n_symbols", "word_chars", 1_000_000, 10_000, False),
     "dup_line_share": ("n_dup_lines", "n_lines", 1_000_000, 50_000, False),
@@ -164,36 +164,44 @@ def quartiles(sketches: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def limits(sketches: DataFrame) -> DataFrame:
-    """lang, source and, for each measure, ``<measure>_low`` and ``<measure>_high``.
+def _shrunk(level: DataFrame, wider: DataFrame | None, keys: list[str]) -> DataFrame:
+    """keys, measure, q1, q3, spread of the groups of a level, drawn to the wider group of each.
 
-    A limit lies ``REACH`` quartile distances beyond the quartiles of the language and source,
-    or, where these have fewer than ``MIN_GROUP`` documents, of the language, or else of all.
+    The spread of a group is the distance of its quartiles; only where these are equal, it is
+    that of ``MEASURES``. The wider group counts like ``PRIOR`` documents more, so the fewer
+    documents a group has, the nearer it lies to that.
     """
-    own = quartiles(sketches, ["lang", "source"])
-    of_lang = quartiles(merge(sketches, ["lang"]), ["lang"])
-    of_all = quartiles(merge(sketches, []), [])
-    named = lambda frame, tag: frame.select(
-        *[F.col(c).alias(f"{c}_{tag}") for c in frame.columns]
+    flat = F.create_map(*[F.lit(x) for name, m in MEASURES.items() for x in (name, m[3])])
+    distance = F.col("q3") - F.col("q1")
+    own = level.withColumn(
+        "spread", F.when(distance > 0, distance).otherwise(flat[F.col("measure")])
     )
-    wide, all_ = named(of_lang, "l"), named(of_all, "a")
-    joined = own.join(
-        wide,
-        own["lang"].eqNullSafe(wide["lang_l"]) & (own["measure"] == wide["measure_l"]),
-    ).join(F.broadcast(all_), own["measure"] == all_["measure_a"])  # a row for each measure
-
-    def chosen(q: str) -> Column:
-        return (
-            F.when(F.col("size") >= MIN_GROUP, F.col(q))
-            .when(F.col("size_l") >= MIN_GROUP, F.col(f"{q}_l"))
-            .otherwise(F.col(f"{q}_a"))
-        )
+    if wider is None:
+        return own.select("measure", "q1", "q3", "spread")
+    named = wider.select(*[F.col(c).alias(f"wide_{c}") for c in wider.columns])
+    same = own["measure"] == named["wide_measure"]
+    for key in set(keys) & set(wider.columns):
+        same &= own[key].eqNullSafe(named[f"wide_{key}"])
+    drawn = [
+        F.expr(f"(size * {c} + {PRIOR} * wide_{c}) div (size + {PRIOR})").alias(c)
+        for c in ("q1", "q3", "spread")
+    ]
+    return own.join(named, same).select(*keys, "measure", *drawn)
+
+
+def limits(sketches: DataFrame) -> DataFrame:
+    """lang, source and, for each measure, ``<measure>_low`` and ``<measure>_high``.
 
-    least = F.create_map(*[F.lit(x) for name, m in MEASURES.items() for x in (name, m[3])])
-    spread = REACH * F.greatest(F.col("q3") - F.col("q1"), least[F.col("measure")])
-    rows = joined.select(
-        "lang", "source", "measure", chosen("q1").alias("q1"), chosen("q3").alias("q3")
+    A limit lies ``REACH`` spreads beyond the quartiles of the language and source, both drawn to
+    those of the language, which are drawn to those of all documents.
+    """
+    of_all = _shrunk(quartiles(merge(sketches, []), []), None, [])
+    # a row for each measure
+    of_lang = _shrunk(
+        quartiles(merge(sketches, ["lang"]), ["lang"]), F.broadcast(of_all), ["lang"]
     )
+    rows = _shrunk(quartiles(sketches, ["lang", "source"]), of_lang, ["lang", "source"])
+    spread = REACH * F.col("spread")
     at = lambda name, value: F.max(F.when(F.col("measure") == name, value))
     return rows.groupBy("lang", "source").agg(
         *[at(name, F.col("q1") - spread).alias(f"{name}_low") for name in MEASURES],
@@ -270,10 +278,18 @@ def keep_good(
 def _sql() -> str:
     values = " UNION ALL ".join(
         f"SELECT doc_id, lang, source, base_failed, '{name}' AS measure,"
-        f" {over} * {factor} // greatest({under}, 1) AS value, {least} AS least, {low} AS low"
-        " FROM counted"
-        for name, (over, under, factor, least, low) in MEASURES.items()
+        f" {over} * {factor} // greatest({under}, 1) AS value, {low} AS low FROM counted"
+        for name, (over, under, factor, _, low) in MEASURES.items()
     )
+    whens = " ".join(f"WHEN '{name}' THEN {m[3]}" for name, m in MEASURES.items())
+    flat = f"CASE measure {whens} END"
+
+    def drawn(own: str, wide: str) -> str:
+        return ", ".join(
+            f"({own}.size * {own}.{c} + {PRIOR} * {wide}.{c}) // ({own}.size + {PRIOR}) AS {c}"
+            for c in ("q1", "q3", "spread")
+        )
+
     to_here = "ORDER BY value ROWS UNBOUNDED PRECEDING"
 
     def level(name: str, keys: str) -> str:
@@ -334,20 +350,23 @@ sketch AS (
 {level("own", "lang, source, ")},
 {level("of_lang", "lang, ")},
 {level("of_all", "")},
+drawn_all AS (
+  SELECT measure, q1, q3, CASE WHEN q3 > q1 THEN q3 - q1 ELSE {flat} END AS spread FROM of_all
+),
+drawn_lang AS (
+  SELECT lang, measure, {drawn("o", "w")}
+  FROM (SELECT *, CASE WHEN q3 > q1 THEN q3 - q1 ELSE {flat} END AS spread FROM of_lang) o
+  JOIN drawn_all w USING (measure)
+),
 limits AS (
-  SELECT own.lang, own.source, measure,
-    CASE WHEN own.size >= {MIN_GROUP} THEN own.q1 WHEN of_lang.size >= {MIN_GROUP}
-      THEN of_lang.q1 ELSE of_all.q1 END AS q1,
-    CASE WHEN own.size >= {MIN_GROUP} THEN own.q3 WHEN of_lang.size >= {MIN_GROUP}
-      THEN of_lang.q3 ELSE of_all.q3 END AS q3
-  FROM own JOIN of_lang USING (measure) JOIN of_all USING (measure)
-  WHERE own.lang IS NOT DISTINCT FROM of_lang.lang
+  SELECT o.lang, o.source, o.measure, {drawn("o", "w")}
+  FROM (SELECT *, CASE WHEN q3 > q1 THEN q3 - q1 ELSE {flat} END AS spread FROM own) o
+  JOIN drawn_lang w ON o.measure = w.measure AND o.lang IS NOT DISTINCT FROM w.lang
 ),
 outside AS (
   SELECT DISTINCT doc_id FROM measured m JOIN limits i USING (measure)
   WHERE m.lang IS NOT DISTINCT FROM i.lang AND m.source IS NOT DISTINCT FROM i.source
-    AND (value > q3 + {REACH} * greatest(q3 - q1, least)
-      OR low AND value < q1 - {REACH} * greatest(q3 - q1, least))
+    AND (value > q3 + {REACH} * spread OR low AND value < q1 - {REACH} * spread)
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,

@@ -95,3 +95,41 @@ def test_keep_good_of_odd_tables(spark):
     docs = cases.documents(spark)
     assert quality.keep_good(docs).schema.names == docs.columns
     assert quality.keep_good(cases.none(spark)).count() == 0
+
+
+def quartile_rows(spark, rows):
+    return spark.createDataFrame(
+        rows, "lang STRING, source STRING, measure STRING, value LONG, n LONG"
+    )
+
+
+def test_limits_come_from_the_sketches(spark):
+    """A narrow source has narrow limits, a wide one wide limits, without a least distance."""
+    narrow = [("en", "narrow", "word_length", 4990 + i, 300) for i in range(21)]
+    wide = [("en", "wide", "word_length", 4000 + 100 * i, 300) for i in range(21)]
+    few = [("en", "few", "word_length", 5000, 1), ("en", "few", "word_length", 5001, 1)]
+    flat = [("en", "flat", "word_length", 5000, 6000)]
+    found = quality.limits(quartile_rows(spark, narrow + wide + few + flat))
+    at = {r.source: (r.word_length_low, r.word_length_high) for r in found.collect()}
+    # quartiles of the narrow source are 4,995 and 5,005, four times their distance is 40
+    assert 4900 < at["narrow"][0] <= 4995 - 40 and 5005 + 40 <= at["narrow"][1] < 5100
+    assert at["wide"][0] < 2000 and at["wide"][1] > 8000
+    # two documents say little, so the limits are those of the language
+    assert at["few"][1] - at["few"][0] < 500
+    assert 5000 + 4 * 490 < at["flat"][1] <= 5000 + 4 * 500
+
+
+def test_larger_groups_lean_less_on_the_language(spark):
+    def high(n):
+        rows = [("en", "own", "echo_share", v, n) for v in (0, 0, 1000, 1000)]
+        rows += [("en", "other", "echo_share", v, 100_000) for v in (0, 0, 9000, 9000)]
+        return (
+            quality.limits(quality.merge(quartile_rows(spark, rows), ["lang", "source"]))
+            .filter("source = 'own'")
+            .first()
+            .echo_share_high
+        )
+
+    highs = [high(n) for n in (1, 10, 100, 10_000)]
+    assert highs == sorted(highs, reverse=True) and len(set(highs)) == 4
+    assert highs[0] > 30_000 and highs[-1] < 5_100
