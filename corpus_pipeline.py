@@ -4,6 +4,24 @@ The stages are those of ``shoplens.llm.pipeline``: quality rules, near duplicate
 secrets, packing.
 """
 
-from shoplens.llm.pipeline import ORACLE_SQL, STAGES, run
+from shoplens.llm.pipeline import (
+    ORACLE_SQL,
+    STAGES,
+    good_documents,
+    one_of_each,
+    run,
+    sequences,
+    without_benchmark,
+    without_secrets,
+)
 
-__all__ = ["ORACLE_SQL", "STAGES", "run"]
+__all__ = [
+    "ORACLE_SQL",
+    "STAGES",
+    "good_documents",
+    "one_of_each",
+    "run",
+    "sequences",
+    "without_benchmark",
+    "without_secrets",
+]
