@@ -7,6 +7,8 @@ are laid, and on it the words are compared one by one.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,8 @@ from shoplens.llm.common import settle, small_side
 #: Places of the words of a seed. With both masks, no pattern of one substitution in 8 words,
 #: two in 10 or 12, or three in 15 hides a passage.
 MASKS = ((0, 4, 5, 6), (0, 2, 4, 7))
-#: Items of fewer words are too common to be looked for.
+#: Items of fewer words hold no place for a substitution: they are found by the hash of all their
+#: words in a row, so a document holds one only verbatim.
 MIN_WORDS = 8
 #: Words of a passage (or the whole item, if that is shorter) and how many of 100 must be equal.
 PASSAGE = 25
@@ -38,10 +41,12 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def seeds(hashes: Column) -> Column:
+def seeds(hashes: Column, masks: Sequence[tuple[int, ...]] = MASKS) -> Column:
     """The seeds of all masks at all places, as (seed, place)."""
 
-    def of(mask: tuple[int, ...], number: int) -> Column:
+    def of(mask: tuple[int, ...]) -> Column:
+        # two masks of as many words must not give the same seeds
+        number = MASKS.index(mask) if mask in MASKS else len(MASKS) + len(mask)
         last = F.size(hashes) - mask[-1]
         here = F.transform(
             F.sequence(F.lit(0), F.greatest(last - 1, F.lit(0))),
@@ -55,7 +60,20 @@ def seeds(hashes: Column) -> Column:
         return F.when(last > 0, here)
 
     none = F.array().cast("array<struct<seed:bigint,place:int>>")
-    return F.concat(*[F.coalesce(of(mask, i), none) for i, mask in enumerate(MASKS)])
+    return F.concat(*[F.coalesce(of(mask), none) for mask in masks])
+
+
+def in_a_row(n: int) -> tuple[int, ...]:
+    """The mask of all ``n`` words of a short item."""
+    return tuple(range(n))
+
+
+def item_seeds(hashes: Column) -> Column:
+    """The seeds by which an item is looked for: those of the masks, or of all its words."""
+    found = F.when(F.size(hashes) >= MIN_WORDS, seeds(hashes))
+    for n in range(1, MIN_WORDS):
+        found = found.when(F.size(hashes) == n, seeds(hashes, [in_a_row(n)]))
+    return found
 
 
 def items(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> DataFrame:
@@ -63,7 +81,7 @@ def items(benchmark: DataFrame, id: str = "item_id", text: str = "text") -> Data
     return (
         benchmark.filter(F.col(id).isNotNull() & F.col(text).isNotNull())
         .select(F.col(id).alias("item_id"), words(text).alias("item"))
-        .filter(F.size("item") >= MIN_WORDS)
+        .filter(F.size("item") > 0)
         .groupBy("item")
         .agg(F.min("item_id").alias("item_id"))
     )
@@ -82,16 +100,14 @@ def _marked(seed: Column, bits: Column) -> Column:
 
 
 def bitmap(known: DataFrame) -> DataFrame:
-    """one = 1, bits: a row with ``BITMAP_WORDS`` words in which each seed has marked a bit."""
+    """bits: one row of ``BITMAP_WORDS`` words in which each seed has marked a bit."""
     one_bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit_of(F.col("seed")))
     words = known.groupBy(_word_of(F.col("seed")).alias("id")).agg(F.bit_or(one_bit).alias("w"))
     all_words = known.sparkSession.range(BITMAP_WORDS).join(words, "id", "left")
     ordered = F.array_sort(
         F.collect_list(F.struct("id", F.coalesce("w", F.lit(0).cast("bigint")).alias("w")))
     )
-    return all_words.agg(F.transform(ordered, lambda s: s["w"]).alias("bits")).withColumn(
-        "one", F.lit(1)
-    )
+    return all_words.agg(F.transform(ordered, lambda s: s["w"]).alias("bits"))
 
 
 def equal_words(doc: Column, item: Column, shift: Column) -> Column:
@@ -123,36 +139,36 @@ def contaminated(
     """doc_id, item_id, item_words, matched, place: a row for each document and item it holds.
 
     A document holds an item if, laid on it without gaps, ``PERCENT`` of 100 words are equal in
-    some ``PASSAGE`` words of the item, or in all of a shorter one. ``matched`` counts the equal
+    some ``PASSAGE`` words of the item, or in all of a shorter one; an item of fewer than
+    ``MIN_WORDS`` words must be there verbatim. ``matched`` counts the equal
     words of the best such window, ``place`` is the word of the document on which the item would
     begin (the first of equally good ones). Documents without an id or text, and items without,
     hold nothing; rows of a document that repeat give one result; an empty table on either side
     gives an empty one. Other columns are not read.
 
     Seeds of the benchmark are broadcast if there are at most ``MAX_BROADCAST``. Else a bitmap
-    of them is, of a fixed size, and only seeds of documents that hit it are shuffled to those
-    of the benchmark. The candidates are joined with the documents in which they are verified
+    of them is worked out once, of a fixed size, and only seeds of documents that hit it are
+    shuffled to those of the benchmark. The candidates are joined with the documents in which they are verified
     by broadcast up to the same number, else by shuffle.
     """
     wanted = settle(items(benchmark, item_id, item_text))
     known = settle(
-        wanted.select("item_id", F.inline(seeds(F.col("item")))).select(
+        wanted.select("item_id", F.inline(item_seeds(F.col("item")))).select(
             "item_id", "seed", F.col("place").alias("item_place")
         )
     )
     whole = docs.filter(F.col(id).isNotNull() & F.col(text).isNotNull()).select(
         F.col(id).alias("doc_id"), F.col(text).alias("text")
     )
-    hashed = whole.select("doc_id", once(words("text")).alias("doc"))
+    short = wanted.select(F.size("item").alias("n")).filter(F.col("n") < MIN_WORDS).distinct()
+    masks = [*MASKS, *(in_a_row(row["n"]) for row in short.orderBy("n").collect())]
+    found = whole.select("doc_id", once(words("text")).alias("doc")).select(
+        "doc_id", F.inline(seeds(F.col("doc"), masks))
+    )
     if known.count() <= MAX_BROADCAST:
-        found = hashed.select("doc_id", F.inline(seeds(F.col("doc"))))
         hits = found.join(F.broadcast(known), "seed")
     else:
-        with_bitmap = hashed.withColumn("one", F.lit(1)).join(
-            F.broadcast(bitmap(known)), "one"
-        )
-        possible = F.filter(seeds(F.col("doc")), lambda s: _marked(s["seed"], F.col("bits")))
-        hits = with_bitmap.select("doc_id", F.inline(possible)).join(known, "seed")
+        hits = found.filter(_marked(F.col("seed"), bitmap(known).scalar())).join(known, "seed")
     candidates = settle(
         hits.select(
             "doc_id", "item_id", (F.col("place") - F.col("item_place")).alias("shift")
@@ -186,13 +202,18 @@ def contaminated(
     )
 
 
-def drop_contaminated(
-    docs: DataFrame, benchmark: DataFrame, id: str = "doc_id", text: str = "text"
-) -> DataFrame:
-    """The rows of ``docs`` that hold no item of the benchmark, with all their columns."""
-    found = contaminated(docs, benchmark, id, text)
-    held = settle(found.select(F.col("doc_id").alias(id)).distinct())
-    return docs.join(small_side(held, MAX_BROADCAST), id, "left_anti").select(docs.columns)
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that hold no item of the benchmark, with all their columns.
+
+    Each row is judged by its own text, whatever its id; rows without a text stay. Texts are told
+    apart by 64-bit hashes.
+    """
+    key = F.xxhash64(F.col(text))
+    keyed = docs.select(key.alias("doc_id"), F.col(text).alias("text"))
+    found = contaminated(keyed, benchmark)
+    held = settle(found.select(F.col("doc_id").alias("held")).distinct())
+    whole = docs.select(F.struct("*").alias("doc"), key.alias("held"))
+    return whole.join(small_side(held, MAX_BROADCAST), "held", "left_anti").select("doc.*")
 
 
 def _sql_words(table: str, id: str) -> str:
@@ -203,15 +224,21 @@ def _sql_words(table: str, id: str) -> str:
     )
 
 
-def _sql_seeds(table: str, id: str) -> str:
-    def one(number: int, mask: tuple[int, ...]) -> str:
+def _sql_seeds(table: str, id: str, masks: dict[str, tuple[int, ...]], only: str) -> str:
+    def one(name: str, mask: tuple[int, ...]) -> str:
         parts = " || ' ' || ".join(f"w[p + {place + 1}]" for place in mask)
+        where = only.format(n=len(mask) if mask not in MASKS else 0)
         return (
-            f"SELECT {id}, '{number} ' || {parts} AS seed, p AS place"
-            f" FROM (SELECT {id}, w, unnest(range(len(w) - {mask[-1]})) AS p FROM {table})"
+            f"SELECT {id}, '{name} ' || {parts} AS seed, p AS place FROM (SELECT {id}, w,"
+            f" unnest(range(len(w) - {mask[-1]})) AS p FROM {table} WHERE {where})"
         )
 
-    return " UNION ALL ".join(one(i, mask) for i, mask in enumerate(MASKS))
+    return " UNION ALL ".join(one(*mask) for mask in masks.items())
+
+
+_SQL_MASKS = {f"m{i}": mask for i, mask in enumerate(MASKS)} | {
+    f"r{n}": in_a_row(n) for n in range(1, MIN_WORDS)
+}
 
 
 #: The same by joins of words, for engines without Spark.
@@ -219,10 +246,14 @@ SQL = f"""
 WITH docs AS ({_sql_words("documents", "doc_id")}),
 wanted AS (
   SELECT min(item_id) AS item_id, w FROM ({_sql_words("benchmark", "item_id")})
-  WHERE len(w) >= {MIN_WORDS} GROUP BY w
+  WHERE len(w) > 0 GROUP BY w
 ),
-doc_seeds AS ({_sql_seeds("docs", "doc_id")}),
-item_seeds AS ({_sql_seeds("wanted", "item_id")}),
+item_seeds AS ({_sql_seeds(
+    "wanted", "item_id", _SQL_MASKS, f"len(w) = {{n}} OR {{n}} = 0 AND len(w) >= {MIN_WORDS}"
+)}),
+doc_seeds AS ({_sql_seeds(
+    "docs", "doc_id", _SQL_MASKS, "{n} = 0 OR {n} IN (SELECT len(w) FROM wanted)"
+)}),
 candidates AS (
   SELECT DISTINCT doc_id, item_id, d.place - i.place AS shift
   FROM doc_seeds d JOIN item_seeds i USING (seed)

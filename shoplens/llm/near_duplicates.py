@@ -11,7 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shoplens.llm.common import settle, small_side, text_bytes
@@ -183,9 +183,13 @@ def _sets(texts: pa.Array, shingle: int) -> pa.Array:
 
 
 def sign(
-    docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
+    docs: DataFrame,
+    id: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """doc_id, n_shingles, (k1, k2) that tell sets apart, bands (none without a word)."""
+    """doc_id, ``keep``, n_shingles, (k1, k2) that tell sets apart, bands (none without a word)."""
 
     def of_texts(texts: pa.Array) -> pa.Array:
         return _sign(texts, shingle)
@@ -193,9 +197,9 @@ def sign(
     signed = F.arrow_udf(
         of_texts, "struct<n_shingles:bigint,k1:bigint,k2:bigint,bands:array<bigint>>"
     ).asNondeterministic()
-    return docs.select(F.col(id).alias("doc_id"), signed(text_bytes(text)).alias("s")).select(
-        "doc_id", "s.*"
-    )
+    return docs.select(
+        F.col(id).alias("doc_id"), *keep, signed(text_bytes(text)).alias("s")
+    ).select("doc_id", *keep, "s.*")
 
 
 def _sets_of(
@@ -386,28 +390,42 @@ def near_duplicates(
 def keep_one(
     docs: DataFrame, id: str = "doc_id", text: str = "text", shingle: int = SHINGLE
 ) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns: one document of each component.
+    """The rows of ``docs`` that stay, with all their columns: one row of each component.
 
-    Of rows with the same id the first by text stays. Texts move between machines only if the
-    ids that go, or those that repeat, are too many to broadcast.
+    Rows are told apart by a hash of their id and text, so rows that share an id, or have none,
+    are judged by their own texts. Of a component the row with the smallest id stays (those
+    without an id last, of equal ids the smallest hash), of rows that repeat in both any one. Rows
+    without a word all stay. Texts move between machines only if the rows that go, or those
+    that repeat, are too many to broadcast.
     """
-    judged = settle(near_duplicates(docs, id, text, shingle))
-    gone = judged.filter("not kept").select(F.col("doc_id").alias(id))
-    stay = docs.join(small_side(gone), id, "left_anti")
-    repeated = settle(
-        docs.filter(F.col(id).isNotNull()).groupBy(id).count().filter("count > 1").select(id)
+    row = F.xxhash64(F.col(id), F.col(text))
+    keyed = docs.select(row.alias("row"), F.col(id).alias("id"), F.col(text).alias("text"))
+    ids = settle(sign(keyed, "row", "text", shingle, keep=("id",)))
+    classes, labels = linked(ids.drop("id"), keyed.select("row", "text"), "row", "text", shingle)
+    component = _with_component(classes.select("k1", "k2", "node"), labels).drop("node")
+    rows = settle(ids.filter("n_shingles > 0").join(component, ["k1", "k2"]))
+    first = rows.groupBy("component").agg(
+        F.min(F.struct(F.col("id").isNull().alias("last"), "id", "doc_id")).alias("first"),
+        F.count("*").alias("n"),
     )
-    if repeated.isEmpty():
-        return stay.select(docs.columns)
-    many = small_side(repeated)
-    first = F.row_number().over(Window.partitionBy(id).orderBy(F.col(text).asc_nulls_last()))
-    ranked = stay.join(many, id, "left_semi").withColumn("rank of id", first)
-    once = ranked.filter("`rank of id` = 1")
-    return (
-        stay.join(many, id, "left_anti")
-        .select(docs.columns)
-        .unionByName(once.select(docs.columns))
+    one = first.filter("n > 1").select("component", F.col("first.doc_id").alias("stays"))
+    gone = settle(
+        rows.join(one, "component")
+        .filter("doc_id != stays")
+        .select(F.col("doc_id").alias("row"))
+        .distinct()
+    )
+    again = settle(
+        rows.groupBy(F.col("doc_id").alias("row")).count().filter("count > 1").select("row")
     )
+    whole = docs.select(F.struct("*").alias("doc"), row.alias("row"))
+    stay = whole.join(small_side(gone), "row", "left_anti")
+    if again.isEmpty():
+        return stay.select("doc.*")
+    many = small_side(again)
+    once = stay.join(many, "row", "left_semi").groupBy("row").agg(F.first("doc").alias("doc"))
+    single = stay.join(many, "row", "left_anti")
+    return single.select("doc.*").unionByName(once.select("doc.*"))
 
 
 #: The same over all pairs that share a shingle, for engines without Spark.

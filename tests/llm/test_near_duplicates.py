@@ -85,6 +85,23 @@ def test_keep_one(spark):
     assert near.keep_one(cases.none(spark)).count() == 0
 
 
+def test_rows_are_judged_by_their_texts(spark):
+    """Rows that share an id or have none: unrelated texts stay, copies go, none is doubled."""
+    one, two, three = cases.prose(80, 60), cases.prose(81, 60), cases.prose(82, 60)
+    near_two = two + " end"
+    rows = [
+        (1, one), (1, two), (2, two), (None, one), (None, three), (None, three), (3, near_two),
+        (4, None), (4, None), (None, ""),
+    ]
+    docs = cases.documents(spark, rows)
+    stay = near.keep_one(docs)
+    assert stay.columns == docs.columns
+    assert cases.found(stay, "doc_id", "text") == sorted(
+        [(None, ""), (None, three), (1, one), (1, two), (4, None), (4, None)],
+        key=lambda r: [(v is not None, v) for v in r],
+    )
+
+
 def test_the_stage_takes_five_words(spark):
     def changed(word, *places):
         return " ".join(f"new{n}" if n in places else f"{word}{n}" for n in range(120))
