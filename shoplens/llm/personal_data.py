@@ -2,10 +2,14 @@
 
 What the base patterns find and check is always redacted. Besides, wider patterns propose spans
 of the same families; gradient-boosted trees score them by their format and their surroundings.
-The trees learn from the corpus itself: proposals that meet a checked base span (of cards and
-phones, those with just its figures) are examples of their family, all others are counterexamples.
-A threshold is the lowest score from which on proposals that were not learnt from are right often
-enough. Proposals may overlap; of those above their thresholds the best by score are added.
+The trees learn from the corpus itself. Examples are the proposals that meet a checked base span
+and rewritten spans: each base span is written as the base patterns do not find it (without the
+plus, with other separators, with "(at)") and put back between its neighbours. Counterexamples
+are rewritten spans that a check fails, and all proposals that meet no base span; as those may be
+right, what is learnt errs to the careful side. Scores of labelled spans that were not learnt from
+are calibrated by isotonic regression, and a threshold is the lowest score whose calibrated share
+of right ones is high enough. Proposals may overlap; of those above their thresholds the best by
+score are added.
 """
 
 from __future__ import annotations
@@ -33,8 +37,13 @@ ADDED = ("email_like", "ip_like", "card_like", "phone_like")
 SAMPLE = 10_000
 #: Examples and counterexamples without which nothing is learnt and no span is added.
 MIN_EXAMPLES = 20
-#: Share of the proposals above a threshold that must be right.
-PRECISION = 0.99
+#: Calibrated share of labelled right spans at a threshold. Proposals that meet no base span count
+#: as wrong there even if they are what is looked for, so the true share is higher: where spans
+#: like the examples occur, they take the place of counterexamples; where decoys do, there are no
+#: examples.
+PRECISION = 0.5
+#: Digits of the scores that are told apart, so that there are few of them.
+SCORE_DIGITS = 3
 TREES = 10
 DEPTH = 3
 #: Bytes before a proposal in which words count.
@@ -236,6 +245,55 @@ def judged(text: bytes, base: list[Span]) -> Iterator[tuple[Span, bool, bool]]:
         yield span, right, any(k.meet(span) for k in known.values())
 
 
+def _regrouped(digits: bytes, between: bytes) -> bytes:
+    return between.join(digits[i : i + 4] for i in range(0, len(digits), 4))
+
+
+def _other_digit(digits: bytes) -> bytes:
+    """Figures that fail the check of those given."""
+    return digits[:-1] + bytes([48 + (digits[-1] - 48 + 5) % 10])
+
+
+def rewritten(kind: str, part: bytes, choice: int) -> Iterator[tuple[bytes, int]]:
+    """Forms of a base span that no base pattern finds, and whether each still is one."""
+    digits = part.translate(None, NOT_FIGURES)
+    if kind == "email":
+        local, domain = part.split(b"@", 1)
+        for at in (b" (at) ", b"(at)", b" [at] ", b"[at]", b" @ "):
+            yield local + at + domain, 1
+            yield local + at + domain.replace(b".", b" (dot) "), 1
+    elif kind == "ip":
+        parts = part.split(b".")
+        wrong = [*parts[: choice % 4], str(300 + choice % 700).encode(), *parts[choice % 4 + 1 :]]
+        for between in (b":", b","):
+            yield between.join(parts), 1
+            yield between.join(wrong), 0
+    elif kind == "card":
+        for between in (b".", b"  ", b" - "):
+            yield _regrouped(digits, between), 1
+            yield _regrouped(_other_digit(digits), between), 0
+    else:
+        bare = part.lstrip(b"+")
+        yield bare, 1
+        yield re.sub(rb"[^0-9]+", b".", bare), 1
+
+
+def taught(text: bytes, base: list[Span]) -> list[dict]:
+    """Rewritten base spans between their neighbours: kind, right, features."""
+    found = []
+    for kind, start, end in base:
+        before, after = text[max(0, start - 2 * CONTEXT) : start], text[end : end + CONTEXT]
+        for part, right in rewritten(kind, text[start:end], start + end):
+            piece = before + part + after
+            span = (f"{kind}_like", len(before), len(before) + len(part))
+            if any(a < span[2] and b > span[1] for _, a, b in base_spans(piece)):
+                continue
+            if span in proposals(piece):
+                values = np.array(features(piece, span))
+                found.append({"kind": span[0], "right": right, "features": values})
+    return found
+
+
 def _edges(text: bytes, spans: list[Span]) -> dict[int, int]:
     """Place in code points of each edge of the spans."""
     places, at, count = {}, 0, 0
@@ -267,13 +325,26 @@ _FOUND = pa.struct(
                 )
             ),
         ),
+        (
+            "taught",
+            pa.list_(
+                pa.struct(
+                    [
+                        ("kind", pa.string()),
+                        ("right", pa.int32()),
+                        ("features", pa.list_(pa.float64())),
+                    ]
+                )
+            ),
+        ),
     ]
 )
 _FOUND_DDL = (
     "struct<"
     + ",".join(f"n_{kind}:bigint" for kind in BASE)
     + ",base_sha256:string,base:string,proposed:array<struct<kind:string,start:bigint,"
-    "stop:bigint,right:int,known:boolean,features:array<double>>>>"
+    "stop:bigint,right:int,known:boolean,features:array<double>>>,"
+    "taught:array<struct<kind:string,right:int,features:array<double>>>>"
 )
 
 
@@ -298,6 +369,7 @@ def look(text: bytes) -> dict:
             }
             for span, right, known in offered
         ],
+        "taught": taught(text, base),
     }
 
 
@@ -305,7 +377,7 @@ def _look_all(texts: pa.Array) -> pa.Array:
     done, rows, gathered = [pa.array([], _FOUND)], [], 0
     for text in texts:
         rows.append(look(text.as_py()))
-        gathered += len(rows[-1]["proposed"])
+        gathered += len(rows[-1]["proposed"]) + len(rows[-1]["taught"])
         if gathered >= AT_ONCE:
             done.append(pa.array(rows, _FOUND))
             rows, gathered = [], 0
@@ -364,31 +436,41 @@ def _best_of_all(rows: pa.Array) -> pa.Array:
     return pa.array([best_apart(row.as_py()) for row in rows], _RIVALS)
 
 
+def isotonic(right: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """The rising shares that fit ``right`` of ``rows`` at rising scores best: pools of neighbours."""
+    pools: list[list[float]] = []  # right, rows, scores
+    for good, all_ in zip(right.tolist(), rows.tolist(), strict=True):
+        pools.append([good, all_, 1])
+        while len(pools) > 1 and pools[-2][0] * pools[-1][1] >= pools[-1][0] * pools[-2][1]:
+            good, all_, n = pools.pop()
+            pools[-1] = [pools[-1][0] + good, pools[-1][1] + all_, pools[-1][2] + n]
+    return np.concatenate([np.empty(0), *(np.full(int(n), g / a) for g, a, n in pools)])
+
+
 def thresholds(
     kinds: list[str], scores: np.ndarray, right: np.ndarray, rows: np.ndarray | None = None
 ) -> dict[str, float]:
-    """For each kind the lowest score from which on ``PRECISION`` of the proposals are right.
+    """For each kind the lowest score whose calibrated share of right ones is ``PRECISION``.
 
-    Each place stands for one proposal or, with ``rows``, for so many, of which ``right`` are.
+    Each place stands for one labelled span or, with ``rows``, for so many, of which ``right``
+    are. A kind with fewer than ``MIN_EXAMPLES`` right ones has none.
     """
     rows = np.ones(len(right), int) if rows is None else rows
     found = {}
     for kind in ADDED:
         own = np.array([k == kind for k in kinds], bool)
-        order = np.argsort(-scores[own], kind="stable")
-        score, good, all_ = scores[own][order], right[own][order], rows[own][order]
-        if good.sum() < MIN_EXAMPLES or (all_ - good).sum() < 1:
+        if right[own].sum() < MIN_EXAMPLES:
             continue
-        last = np.flatnonzero(np.append(score[1:] != score[:-1], True))
-        share = np.cumsum(good)[last] / np.cumsum(all_)[last]
-        if (share >= PRECISION).any():
-            found[kind] = float(score[last[np.flatnonzero(share >= PRECISION)[-1]]])
+        score, place = np.unique(scores[own], return_inverse=True)
+        share = isotonic(np.bincount(place, right[own]), np.bincount(place, rows[own]))
+        if share[-1] >= PRECISION:
+            found[kind] = float(score[np.flatnonzero(share >= PRECISION)[0]])
     return found
 
 
 def _score(model, offered: DataFrame) -> DataFrame:
     scored = model.transform(offered.withColumn("vector", array_to_vector("features")))
-    return scored.withColumn("score", vector_to_array("probability")[1])
+    return scored.withColumn("score", F.round(vector_to_array("probability")[1], SCORE_DIGITS))
 
 
 def _drawn(offered: DataFrame) -> DataFrame:
@@ -409,15 +491,27 @@ def _drawn(offered: DataFrame) -> DataFrame:
     )
 
 
-def selected(offered: DataFrame, key: str = "row") -> DataFrame | None:
+def selected(
+    offered: DataFrame, key: str = "row", lessons: DataFrame | None = None
+) -> DataFrame | None:
     """Of the proposals those to be added; None if there is too little to learn from.
 
-    At most ``SAMPLE`` proposals of each family teach, drawn by a hash of ``key`` and their
+    ``lessons`` are labelled spans (key, number, kind, right, features) that are no proposals. At
+    most ``SAMPLE`` labelled spans of each family teach, drawn by a hash of ``key`` and their
     place. ``key`` tells rows apart however the table is dealt, so the draw does not depend on
-    partitions. All other proposals are scored and set the thresholds. What is added of a row
-    does not overlap.
+    partitions. All other labelled spans are scored and set the thresholds, by a count for each
+    score. What is added of a row does not overlap.
     """
-    hashed = offered.withColumn("hash", F.xxhash64(key, "kind", "start", "stop"))
+    place = F.xxhash64(key, "kind", "start", "stop").alias("hash")
+    told = ("row", "kind", "start", "stop", "right", "known", "features")
+    hashed = offered.select(*told, place)
+    if lessons is not None:
+        lone = [F.lit(None).cast("bigint").alias(c) for c in ("row", "start", "stop")]
+        learnt = lessons.select(
+            lone[0], "kind", *lone[1:], "right", F.lit(True).alias("known"), "features",
+            F.xxhash64(key, "kind", "number", F.lit("lesson")).alias("hash"),
+        )
+        hashed = hashed.unionByName(learnt)
     drawn = F.broadcast(_drawn(hashed))
     teaching = settle(
         hashed.join(drawn, ["kind", "hash"], "left_semi")
@@ -433,11 +527,7 @@ def selected(offered: DataFrame, key: str = "row") -> DataFrame | None:
         labelCol="right", featuresCol="vector", maxIter=TREES, maxDepth=DEPTH, seed=1
     )
     model = trees.fit(teaching.withColumn("vector", array_to_vector("features")))
-    scored = settle(
-        _score(model, hashed).select(
-            "row", "kind", "start", "stop", "right", "known", "hash", "score"
-        )
-    )
+    scored = settle(_score(model, hashed).select(*told[:-1], "hash", "score"))
     held = (
         scored.join(drawn, ["kind", "hash"], "left_anti")
         .groupBy("kind", "score")
@@ -482,8 +572,11 @@ def find_personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text")
         .withColumn("row", F.monotonically_increasing_id())
     )
     offered = found.select("row", "key", F.inline("proposed"))
-    added = selected(offered, "key")
-    rows = found.drop("proposed", "key")
+    lessons = found.select("key", F.posexplode("taught").alias("number", "lesson")).select(
+        "key", "number", "lesson.*"
+    )
+    added = selected(offered, "key", lessons)
+    rows = found.drop("proposed", "taught", "key")
     if added is None:
         return rows.withColumnRenamed("base", "spans").drop("row")
     number = F.array_position(F.array(*map(F.lit, ADDED)), F.col("kind"))
@@ -500,9 +593,10 @@ def find_personal_data(docs: DataFrame, id: str = "doc_id", text: str = "text")
 
 
 def redact(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``docs`` with each span replaced by its kind in brackets; for tables with unique ids.
+    """``docs`` with each span replaced by its kind in brackets.
 
-    All rows stay; those without an id or text as they are.
+    All rows stay, each once and redacted by its own text, also if they share an id or have none;
+    those without a text stay as they are. Rows are told apart by a 64-bit hash of id and text.
     """
 
     def cut(texts: pa.Array, spans: pa.Array) -> pa.Array:
@@ -519,9 +613,13 @@ def redact(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame
             out.append(whole)
         return pa.array(out, pa.string())
 
-    found = find_personal_data(docs, id, text).filter("spans != '' and doc_id is not null")
-    rows = docs.select(F.struct("*").alias("old"), F.col(id).alias("doc_id")).join(
-        found.select("doc_id", "spans"), "doc_id", "left"
+    row = F.xxhash64(F.col(id), F.col(text))
+    keyed = docs.select(row.alias("doc_id"), F.col(text).alias("text"))
+    found = find_personal_data(keyed).filter("spans != ''")
+    # rows that are equal in id and text have equal spans
+    spans = found.groupBy("doc_id").agg(F.first("spans").alias("spans"))
+    rows = docs.select(F.struct("*").alias("old"), row.alias("doc_id")).join(
+        spans, "doc_id", "left"
     )
     clean = F.arrow_udf(cut, "string")(F.col("old")[text], F.col("spans"))
     return rows.select(
