@@ -36,14 +36,16 @@ def ship(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession) -> str:
     """The folder that the driver and all executors share.
 
-    It is what the session names in ``spark.checkpoint.dir``. Only where that is unset, as in
-    tests on one machine, a temporary folder takes its place.
+    It is what the session names in ``spark.checkpoint.dir``. Only where that is unset and the
+    session runs on one machine, as in tests, a temporary folder takes its place.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
         context = spark.sparkContext
         folder = context.getCheckpointDir()
         if not folder:
+            if context.master.split("[")[0] != "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
             context.setCheckpointDir(tempfile.mkdtemp(prefix="shoplens-"))
             folder = context.getCheckpointDir()
     return folder.rstrip("/")

@@ -48,6 +48,9 @@ _INDEX = pa.schema(
         ("length", pa.int64()),
     ]
 )
+#: Bytes of records that a task reads back, about.
+READ_BYTES = 1 << 25
+
 _INDEX_DDL = (
     "record_id string, page_id bigint, bundle string, frame int, offset bigint, length bigint"
 )
@@ -292,11 +295,13 @@ def _read(folder: str, with_payload: bool):
 def read_archives(index: DataFrame, folder: str, with_payload: bool = True) -> DataFrame:
     """The records that the rows of ``index`` name: a row each, revisits without payload.
 
-    Frames are dealt out, so each is unpacked once and a large bundle is read by many tasks.
+    Frames are dealt out, so each is unpacked once and a large bundle is read by many tasks; how
+    many, the bytes of the records decide.
     """
+    size = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     places = (
         index.select("bundle", "frame", "offset", "length")
-        .repartition("bundle", "frame")
+        .repartition(max(1, -(-size // READ_BYTES)), "bundle", "frame")
         .sortWithinPartitions("bundle", "frame", "offset")
     )
     return places.mapInArrow(_read(folder, with_payload), _RECORDS_DDL)

@@ -192,3 +192,35 @@ def test_place_prefers_room_where_an_item_needs_it():
     where = vector_shards.place(items, 2).tolist()
     assert where[0] != where[2] and where[1] != where[3]
     assert vector_shards.place(np.zeros((0, 3)), 4).tolist() == []
+
+
+def test_no_text_in_two_shards_unless_it_exceeds_one(spark, monkeypatch):
+    """Against a count of all rows of each text: whole groups, even sizes, slots without gaps."""
+    monkeypatch.setattr(vector_shards, "SLOT_ROWS", 50)
+    texts = [(i, cases.prose(i, 20 + i * 37 % 200)) for i in range(3000)]
+    texts += [(None, "warm " * 40)] * 500  # most rows of a shard, fewer of its bytes
+    texts += [(4000 + i, "hot " * 300) for i in range(600)]  # more than a shard
+    texts += [(5000 + i, cases.prose(9000 + i % 40, 300)) for i in range(200)]
+    found = shards_of(spark, texts, shards=6)
+    size_of, shards_by_crc, by_shard, slots = {}, {}, {}, {}
+    for _, text in texts:
+        crc = zlib.crc32(text.encode())
+        size_of[crc] = size_of.get(crc, 0) + len(text.encode()) + 8
+    for r in found:
+        shards_by_crc.setdefault(r.text_crc32, set()).add(r.shard)
+        by_shard[r.shard] = by_shard.get(r.shard, 0) + r.size
+        slots.setdefault(r.shard, []).append(r.slot)
+    share = sum(size_of.values()) / 6
+    hot = zlib.crc32(("hot " * 300).encode())
+    assert [c for c, s in shards_by_crc.items() if len(s) > 1] == [hot]
+    assert size_of[hot] > share > max(n for c, n in size_of.items() if c != hot)
+    assert max(by_shard.values()) < 1.02 * min(by_shard.values())
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+
+
+def test_words_of_a_text(spark):
+    texts = [(1, ""), (2, None), (3, "\n one two\t\n"), (4, "one"), (5, " \n "), (6, "a\x0bb\x0cc")]
+    found = vector_shards.describe(cases.documents(spark, texts))
+    assert cases.found(found, "doc_id", "n_words") == [
+        (1, 0), (2, 0), (3, 2), (4, 1), (5, 0), (6, 3)
+    ]
