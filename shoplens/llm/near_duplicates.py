@@ -27,7 +27,7 @@ ROWS = 4
 PLACES = BANDS * ROWS
 #: Shingles whose signatures are made together, and words whose hashes a worker remembers.
 AT_ONCE = 1 << 15
-MEMO_WORDS = 300_000
+MEMO_WORDS = 100_000
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)

@@ -15,9 +15,9 @@ from tokenizers import Tokenizer, pre_tokenizers
 #: The vocabulary file of the registered queries.
 VOCABULARY = "word_bpe_49k.json"
 #: Parts of words that a worker remembers (about 0.2 kB each).
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 #: Bytes of text that are cut into words at a time.
-AT_ONCE = 1 << 22
+AT_ONCE = 1 << 21
 
 # How a tokenizer must treat a text for the ids of the text to be those of its words.
 NORMALIZER = {
@@ -172,6 +172,8 @@ class WordTokens:
             last = max(first + 1, int(np.searchsorted(size, before + AT_ONCE, "right")))
             yield self._encode(strings.slice(first, last - first))
             first = last
+        # other operators run in the same worker after this one
+        pa.default_memory_pool().release_unused()
 
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """The ids of each text in turn as little-endian unsigned 32-bit bytes; none for null."""
