@@ -5,7 +5,8 @@ equal windows have equal anchors. The consecutive windows of an anchor's occurre
 segment. Anchors that occur once are done; where all segments of an anchor are equal, all their
 windows are repeated. Only the different segments of the other anchors are compared, by the
 Burrows-Wheeler transform of many of them: backward extension of its intervals, breadth first,
-yields the lengths of common prefixes in increasing order and stops at 200.
+yields the lengths of common prefixes in increasing order and stops at 200. Where an anchor has
+too many of them for one task, they are first cut by the place of the anchor in their windows.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ REACH = LENGTH - GRAM + 1
 AT_ONCE = 1 << 16
 #: Bytes of segments that are transformed together.
 BLOCK = 1 << 17
-#: Different segments of an anchor beyond which its windows are compared by hash, by all tasks.
+#: Different segments of an anchor beyond which they are halved before they are transformed.
 HOT = 4096
+#: Pieces of such segments whose repeated windows may be broadcast (1 kB each at most).
+MAX_RUNS = 50_000
 #: Repeated anchors that may be broadcast (about 35 bytes each, so 70 MB).
 MAX_BROADCAST = 2_000_000
 
@@ -63,15 +66,20 @@ def _least(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+def _grams(part: bytes) -> np.ndarray:
+    """The hash of each gram of at most ``AT_ONCE + LENGTH - 1`` bytes."""
+    codes = np.frombuffer(part, np.uint8)
+    sums = np.zeros(len(codes) + 1, _U)
+    np.cumsum(_BYTES[codes] * _POWERS[: len(codes)], out=sums[1:])
+    return _mix((sums[GRAM:] - sums[:-GRAM]) * _INVERSE[: len(codes) - GRAM + 1])
+
+
 def anchors(text: bytes) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(anchor, segment's hash, first window, windows) of a text, a tuple for each part of it."""
     found = []
     for at in range(0, len(text) - LENGTH + 1, AT_ONCE):
         part = text[at : at + AT_ONCE + LENGTH - 1]
-        codes = np.frombuffer(part, np.uint8)
-        sums = np.zeros(len(codes) + 1, _U)
-        np.cumsum(_BYTES[codes] * _POWERS[: len(codes)], out=sums[1:])
-        grams = _mix((sums[GRAM:] - sums[:-GRAM]) * _INVERSE[: len(codes) - GRAM + 1])
+        grams = _grams(part)
         # of equal grams the leftmost is the anchor: the place stands in the lowest bits
         places = np.arange(len(grams), dtype=_U)
         least = _least((grams & ~_PLACE) | places, REACH)
@@ -247,41 +255,121 @@ def _transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-def _window_hashes(contents: pa.Array) -> pa.Array:
-    return pa.array(
+def halves(content: bytes, low: int, high: int) -> Iterator[tuple[int, int, int, int]]:
+    """(low, high, first window, last window) of the two halves of a segment's windows.
+
+    ``low`` and ``high`` bound how many bytes of a window lie before its anchor. So all windows
+    within the bounds hold the ``low`` bytes before the anchor and ``REACH - 1 - high`` after it.
+    """
+    middle = (low + high + 1) // 2
+    at = anchor_place(content)
+    windows = len(content) - LENGTH + 1
+    for least, most in ((middle, high), (low, middle - 1)):
+        first, last = max(0, at - most), min(windows - 1, at - least)
+        if first <= last:
+            yield least, most, first, last
+
+
+def anchor_place(content: bytes) -> int:
+    """Where in a segment the anchor of its first window, and so of all its windows, begins."""
+    grams = _grams(content[:LENGTH]) & ~_PLACE
+    return int(np.argmin(grams))
+
+
+_PARTS_OF_DDL = (
+    "array<struct<key:bigint,part:bigint,skip:bigint,low:bigint,high:bigint,piece:binary>>"
+)
+_PARTS_OF = pa.list_(
+    pa.struct(
         [
-            [xxhash.xxh3_128_digest(c[a : a + LENGTH]) for a in range(len(c) - LENGTH + 1)]
-            for c in contents.to_pylist()
-        ],
-        pa.list_(pa.binary()),
+            ("key", pa.int64()),
+            ("part", pa.int64()),
+            ("skip", pa.int64()),
+            ("low", pa.int64()),
+            ("high", pa.int64()),
+            ("piece", pa.binary()),
+        ]
     )
+)
+
+
+def _signed(data: bytes, seed: int = 0) -> int:
+    return int.from_bytes(xxhash.xxh3_64_digest(data, seed), "little", signed=True)
+
+
+def _halved(contents: pa.Array, lows: pa.Array, highs: pa.Array) -> pa.Array:
+    """The halves of each segment, keyed by the bytes that all their windows must share."""
+    rows = []
+    for content, low, high in zip(
+        contents.to_pylist(), lows.to_pylist(), highs.to_pylist(), strict=True
+    ):
+        at = anchor_place(content)
+        parts = []
+        for least, most, first, last in halves(content, low, high):
+            piece = content[first : last + LENGTH]
+            shared = content[at - least : at + LENGTH - most]
+            key = _signed(shared, least * REACH + most)
+            parts.append(
+                {
+                    "key": key,
+                    "part": _signed(piece),
+                    "skip": first,
+                    "low": least,
+                    "high": most,
+                    "piece": piece,
+                }
+            )
+        rows.append(parts)
+    return pa.array(rows, _PARTS_OF)
 
 
 def _ranges(segments: DataFrame) -> DataFrame:
     """anchor, segment, runs: repeated windows of segments that differ, as (skip, found).
 
-    ``segments``: anchor, segment, weight, content, one row for each different one.
+    ``segments``: anchor, segment, weight, content, low, high, one row for each different one.
+    Equal windows have their anchor at the same place. So the segments of an anchor that has
+    more than ``HOT`` are halved by that place, and each half goes to those that also share the
+    bytes next to the anchor which all windows of the half hold. Equal halves become one, and
+    what then is still crowded is halved again; windows that stand alone are keyed by all their
+    bytes, so eight rounds are the most.
     """
-    crowded = small_side(
-        settle(segments.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor"))
+    crowded = settle(
+        segments.groupBy("anchor").count().filter(F.col("count") > HOT).select("anchor")
     )
-    usual = (
-        segments.join(crowded, "anchor", "left_anti")
+    some = not crowded.isEmpty()
+    few = small_side(crowded)
+    found = (
+        (segments.join(few, "anchor", "left_anti") if some else segments)
         .select("anchor", "segment", "weight", "content")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "segment")
         .mapInArrow(_transform, _RANGES_DDL)
     )
-    hashes = F.arrow_udf(_window_hashes, "array<binary>").asNondeterministic()
-    windows = segments.join(crowded, "anchor", "left_semi").select(
-        "anchor", "segment", "weight", F.posexplode(hashes("content")).alias("skip", "window")
-    )
-    twice = windows.groupBy("window").agg(F.sum("weight").alias("n")).filter("n > 1")
-    hot = windows.join(twice.select("window"), "window").select(
-        "anchor", "segment", F.col("skip").cast("long").alias("skip"), F.lit(1).cast("long")
-    )
-    both = usual.union(hot.toDF("anchor", "segment", "skip", "found"))
-    return both.groupBy("anchor", "segment").agg(
+    if some:
+        halve = F.arrow_udf(_halved, _PARTS_OF_DDL).asNondeterministic()
+        parts = settle(
+            segments.join(few, "anchor", "left_semi").select(
+                "anchor", "segment", "weight", F.inline(halve("content", "low", "high"))
+            )
+        )
+        pieces = settle(
+            parts.groupBy(F.col("key").alias("anchor"), F.col("part").alias("segment"))
+            .agg(
+                F.sum("weight").alias("weight"),
+                F.any_value("piece").alias("content"),
+                F.min("low").alias("low"),
+                F.min("high").alias("high"),
+            )
+        )
+        of_pieces = settle(_ranges(pieces).toDF("key", "part", "runs"))
+        back = (
+            parts.select("anchor", "segment", "key", "part", F.col("skip").alias("first"))
+            .join(small_side(of_pieces, MAX_RUNS), ["key", "part"])
+            .select("anchor", "segment", "first", F.inline("runs"))
+            .select("anchor", "segment", (F.col("first") + F.col("skip")).alias("skip"), "found")
+        )
+        found = found.union(back)
+    return found.groupBy("anchor", "segment").agg(
         F.collect_list(F.struct("skip", "found")).alias("runs")
     )
 
@@ -379,7 +467,8 @@ def repeated_spans(docs: DataFrame, id: str = "doc_id", text: str = "text") -> D
         .groupBy("places.anchor", "places.segment")
         .agg(F.count("*").alias("weight"), F.any_value("contents").alias("content"))
     )
-    ranges = settle(_ranges(segments))
+    bounds = {"low": F.lit(0).cast("long"), "high": F.lit(REACH - 1).cast("long")}
+    ranges = settle(_ranges(segments.withColumns(bounds)))
     span = "struct({a} AS a, {a} + {n} + {more} AS b)"
     whole = met.filter("not differ").select(
         *_KEY, F.expr(f"array({span.format(a='first', n='windows', more=LENGTH - 1)})").alias("s")

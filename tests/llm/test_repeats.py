@@ -51,7 +51,7 @@ def patched(seed, n):
     return texts
 
 
-@pytest.mark.parametrize("hot", [repeats.HOT, 3])
+@pytest.mark.parametrize("hot", [repeats.HOT, 3, 1])
 def test_shared_passages_against_brute_force(spark, monkeypatch, hot):
     monkeypatch.setattr(repeats, "HOT", hot)
     monkeypatch.setattr(repeats, "AT_ONCE", repeats.AT_ONCE if hot > 3 else 300)
@@ -89,3 +89,39 @@ def test_anchors_cover_all_windows_once():
     assert first[0] == 0 and first[-1] + windows[-1] == len(text) - repeats.LENGTH + 1
     assert (first[1:] == first[:-1] + windows[:-1]).all()
     assert repeats.anchors(b"x" * 199) == []
+
+
+@pytest.mark.parametrize("hot", [2, 20])
+def test_a_crowded_anchor_is_halved_until_its_pieces_are_few(spark, monkeypatch, hot):
+    """One line in many surroundings, some of which repeat on one side or on both."""
+    monkeypatch.setattr(repeats, "HOT", hot)
+    chance = random.Random(hot)
+    line = cases.prose(77, 30)[:110]
+    sides = [cases.prose(2000 + i, 60) for i in range(12)]
+    texts = []
+    for i in range(150):
+        before, after = (
+            chance.choice(sides) if chance.random() < 0.5 else cases.prose(chance.random(), 60)
+            for _ in range(2)
+        )
+        texts.append((i, before[-chance.randint(20, 160) :] + line + after[: chance.randint(0, 160)]))
+    result = repeats.remove_repeats(spark.createDataFrame(texts, "doc_id BIGINT, text STRING"))
+    assert cases.found(result, *COLUMNS) == brute(texts)
+
+
+def test_halves_hold_each_window_once_and_equal_windows_meet():
+    text = (cases.prose(5, 300) + "ab" * 300 + cases.prose(6, 100)).encode()
+    for _, _, firsts, counts in repeats.anchors(text):
+        for first, windows in zip(firsts.tolist(), counts.tolist(), strict=True):
+            segment = text[first : first + windows + repeats.LENGTH - 1]
+            at, open_, single = repeats.anchor_place(segment), [(0, 0, repeats.REACH - 1)], []
+            while open_:
+                skip, low, high = open_.pop()
+                windows_left = [w for w in range(windows) if low <= at - w <= high]
+                piece = segment[skip : skip + len(windows_left) + repeats.LENGTH - 1]
+                for least, most, a, b in repeats.halves(piece, low, high):
+                    if least == most:
+                        single += range(skip + a, skip + b + 1)
+                    else:
+                        open_.append((skip + a, least, most))
+            assert sorted(single) == list(range(windows))
