@@ -28,6 +28,8 @@ PLACES = BANDS * ROWS
 #: Shingles whose signatures are made together, and words whose hashes a worker remembers.
 AT_ONCE = 1 << 15
 MEMO_WORDS = 100_000
+#: Rows of a bucket whose pairs one task forms; those of larger buckets are dealt over cells.
+CELL = 512
 
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
@@ -268,6 +270,31 @@ def _lonely(stars: DataFrame, sets: DataFrame) -> DataFrame:
     )
 
 
+def _crowded(rows: DataFrame) -> DataFrame:
+    """bucket, cells: into how many parts the rows of a bucket of more than ``CELL`` are dealt."""
+    return (
+        rows.groupBy("bucket")
+        .agg(F.ceil(F.count("*") / CELL).cast("int").alias("cells"))
+        .filter("cells > 1")
+    )
+
+
+def _in_cells(rows: DataFrame, crowded: DataFrame, own: str, other: str) -> DataFrame:
+    """``rows`` with the cells of their bucket's square: its own line, each column, or turned.
+
+    A bucket that is not crowded has one cell. Each pair of rows meets in one cell, which holds
+    about ``CELL`` rows of either side, so no task gets all pairs of a crowded bucket.
+    """
+    node = "node" if "node" in rows.columns else "node_2"
+    return (
+        rows.join(crowded, "bucket", "left")
+        .withColumn("cells", F.coalesce("cells", F.lit(1)))
+        .withColumn(own, F.pmod(F.xxhash64(node), F.col("cells")).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+        .drop("cells")
+    )
+
+
 def linked(
     signed: DataFrame, docs: DataFrame, id: str, text: str, shingle: int = SHINGLE
 ) -> tuple[DataFrame, DataFrame]:
@@ -279,7 +306,8 @@ def linked(
     from the head rule a link out: sets x and y that differ from the head in d(x) and d(y)
     elements differ from each other in at least d(x) + d(y) - 2 min(t(x), t(y)), where t leaves
     out the elements that no other set of the star has. So no link between nodes that meet in a
-    band is lost, and a group of copies does not become all its pairs.
+    band is lost, and a group of copies does not become all its pairs. The rows of a crowded
+    bucket are dealt over the cells of a square, so its pairs are the work of many tasks.
     """
     classes = settle(
         signed.filter("n_shingles > 0 and doc_id is not null")
@@ -347,8 +375,10 @@ def linked(
         )
         & (F.array_min(F.array_intersect("buckets", "buckets_2")) == F.col("bucket"))
     )
+    crowded = small_side(settle(_crowded(rated)))
     pairs = (
-        one.join(two, "bucket")
+        _in_cells(one, crowded, "line", "column")
+        .join(_in_cells(two, crowded, "column", "line"), ["bucket", "line", "column"])
         .filter(possible)
         .select(F.least("node", "node_2").alias("a"), F.greatest("node", "node_2").alias("b"))
         .distinct()

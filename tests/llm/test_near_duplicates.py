@@ -76,6 +76,32 @@ def test_chains_of_near_copies_against_all_pairs(spark, seed):
     assert cases.found(result, *columns) == brute(texts)
 
 
+@pytest.mark.parametrize("cell", [3, 20])
+def test_crowded_buckets_are_dealt_over_cells(spark, monkeypatch, cell):
+    monkeypatch.setattr(near, "CELL", cell)
+    texts = list(enumerate(family(100, seed=7)))
+    docs = spark.createDataFrame(texts, "doc_id BIGINT, text STRING")
+    columns = ("doc_id", "n_shingles", "component_id", "kept")
+    assert cases.found(near.near_duplicates(docs), *columns) == brute(texts)
+
+
+def test_each_pair_of_a_bucket_meets_once(spark, monkeypatch):
+    monkeypatch.setattr(near, "CELL", 10)
+    members = [(1, n) for n in range(95)] + [(2, n) for n in range(10)] + [(3, 7)]
+    rows = spark.createDataFrame(members, "bucket BIGINT, node BIGINT")
+    crowded = near._crowded(rows)
+    assert cases.found(crowded) == [(1, 10)]
+    turned = rows.withColumnRenamed("node", "node_2")
+    met = near._in_cells(rows, crowded, "line", "column").join(
+        near._in_cells(turned, crowded, "column", "line"), ["bucket", "line", "column"]
+    )
+    assert cases.found(met, "bucket", "node", "node_2") == sorted(
+        (b, x, y) for b, x in members for c, y in members if b == c
+    )
+    most = met.groupBy("bucket", "line", "column").count().agg({"count": "max"}).first()[0]
+    assert most < 25 * 25
+
+
 def test_keep_one(spark):
     docs = cases.documents(spark)
     stay = near.keep_one(docs)
